@@ -17,3 +17,6 @@ CORPUS_LEXICON = Lexicon.of(
     penalty_stems=["thr"],
     dataset_hints=["by the", "the of"],
 )
+
+# The corpus lexicon's "country-level" geography terms (probes prefer the rest).
+CORPUS_BROAD = ["was", "para"]
