@@ -100,15 +100,17 @@ def decode_entities(c) -> Column:
     decoded exactly once in a single pass (a chain of regexp_replace calls
     would decode '&amp;lt;' twice).
     """
-    s = _s(c)
-    parts = F.split(s, _ENTITY_RE, -1)
-    matches = F.regexp_extract_all(s, F.lit(_ENTITY_RE), 0)
-    joined = F.array_join(
-        F.zip_with(parts, matches,
-                   lambda a, b: F.concat(F.coalesce(a, F.lit("")),
-                                         F.coalesce(_decode_one_entity(b), F.lit("")))),
-        "")
-    return F.when(s.contains("&"), joined).otherwise(s)
+    def one_pass(s: Column) -> Column:
+        parts = F.split(s, _ENTITY_RE, -1)
+        matches = F.regexp_extract_all(s, F.lit(_ENTITY_RE), 0)
+        joined = F.array_join(
+            F.zip_with(parts, matches,
+                       lambda a, b: F.concat(F.coalesce(a, F.lit("")),
+                                             F.coalesce(_decode_one_entity(b), F.lit("")))),
+            "")
+        return F.when(s.contains("&"), joined).otherwise(s)
+    # bind the input once (lambda variable) instead of re-evaluating it three times
+    return F.transform(F.array(_s(c)), one_pass)[0]
 
 
 def strip_html(c) -> Column:
