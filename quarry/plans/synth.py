@@ -147,3 +147,34 @@ def search_responses(spark, sf) -> DataFrame:
     for f in (crossref_responses, datacite_responses, zenodo_responses):
         out = out.unionByName(f(spark, sf))
     return out
+
+
+PAGE_CHUNK = 200
+
+
+def supplier_pages(spark, sf) -> DataFrame:
+    """One HTML page per (nation, supplier-key block of 200): a data table of the
+    block's suppliers (caption inside for even nations, a preceding <p> for odd),
+    a 1x1 layout table, one figure and one empty figure.  ``nation`` is the fixed
+    25-row dimension, so broadcasting it is size-bounded by definition."""
+    s = read_table(spark, sf, "supplier")
+    n = read_table(spark, sf, "nation")
+    rows = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select(
+        "n_nationkey", "n_name", (F.floor(F.col("s_suppkey") / PAGE_CHUNK)).cast("int").alias("chunk"),
+        "s_suppkey",
+        F.concat(F.lit("<tr><td>"), F.col("s_name"), F.lit("</td><td> "), F.col("s_suppkey").cast("string"),
+                 F.lit(" </td></tr>")).alias("tr"))
+    g = rows.groupBy("n_nationkey", "chunk").agg(
+        F.first("n_name").alias("n_name"),
+        F.array_sort(F.collect_list(F.struct("s_suppkey", "tr"))).alias("trs"))
+    nk = F.col("n_nationkey").cast("string")
+    head = F.when(F.col("n_nationkey") % 2 == 0,
+                  F.concat(F.lit("<table><caption>"), F.col("n_name"), F.lit("</caption>"))) \
+        .otherwise(F.concat(F.lit("<p>"), F.col("n_name"), F.lit(" suppliers</p><table>")))
+    html = F.concat(
+        F.lit("<html><body><div>"), head, F.array_join(F.transform("trs", lambda x: x["tr"]), ""),
+        F.lit("</table><table><tr><td>layout</td></tr></table>"),
+        F.lit('<figure><img src="/img/'), nk, F.lit('.png"><figcaption>Fig. '), nk,
+        F.lit(" "), F.col("n_name"), F.lit("</figcaption></figure><figure></figure></div></body></html>"))
+    url = F.concat(F.lit("https://ex.org/nation/"), nk, F.lit("/"), F.col("chunk").cast("string"))
+    return g.select("n_nationkey", "chunk", url.alias("url"), html.alias("html"))
