@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import text as X
+from ..session import spread
 
 TABLE_T = T.StructType([
     T.StructField("dom_index", T.IntegerType()),
@@ -73,7 +74,7 @@ def parse_pages(df: DataFrame, body: str = "html", base: str | None = "url", xml
     """
     keep = list(keep if keep is not None else [c for c in df.columns if c != body])
     xml_col = xml if isinstance(xml, str) else None
-    src = df.select(*keep, F.col(body).alias("_body"),
+    src = spread(df).select(*keep, F.col(body).alias("_body"),
                     (F.col(base) if base else F.lit(None).cast("string")).alias("_base"),
                     (F.col(xml_col) if xml_col else F.lit(bool(xml))).alias("_xml"))
     out_schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("parsed", PARSED_T)])

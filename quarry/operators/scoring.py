@@ -1,10 +1,12 @@
 """C11 relevance scoring and the F01-F04 gates.
 
 ``score_candidates`` adds the M7 relevance columns to any DataFrame with a
-title and an abstract column.  It is a pure projection (no shuffle), so it
-fuses with the scan and with the gates into one codegen stage and also
-runs on a streaming DataFrame.  Each text is tokenised once and all facets
-are matched against the same gram array (see ``functions.lexicon``).
+title and an abstract column.  It is row-local (no shuffle; an
+under-partitioned input is spread over the cores first) and also runs on a
+streaming DataFrame.  Each text is tokenised once and all facets are
+matched against the same gram array (see ``functions.lexicon``); the
+intermediates are bound behind one-row generators so Catalyst cannot inline
+them into pushed-down filters.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.lexicon import Lexicon, grams, match_stems, match_terms, tokens
+from ..session import spread
 
 def let(df: DataFrame, *exprs) -> DataFrame:
     """Bind expressions once: append them as columns via a one-row ``inline``.
@@ -50,7 +53,7 @@ def score_candidates(df: DataFrame, lexicon: Lexicon | None = None, title: str =
     # Each expensive intermediate (tokens, grams, hits) is bound once behind a
     # one-row generator: filters on the score cannot be inlined below it, so
     # the n-gram arrays are built exactly once per row.
-    staged = let(df, tokens(t).alias("_qt_toks"), tokens(a).alias("_qa_toks"))
+    staged = let(spread(df), tokens(t).alias("_qt_toks"), tokens(a).alias("_qa_toks"))
     staged = let(staged, grams(F.col("_qt_toks"), k).alias("_qt_grams"),
                  grams(F.col("_qa_toks"), k).alias("_qa_grams"))
     hits = let(

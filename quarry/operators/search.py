@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.lexicon import Lexicon
 from ..functions.variants import facet_hits, variants_from_facets
+from ..session import spread
 from .scoring import let
 
 
@@ -24,7 +25,7 @@ def expand_variants(keywords: DataFrame, max_variants: int = K.MAX_QUERY_VARIANT
     """
     cols = keywords.columns
     h = facet_hits(F.col(keyword), lexicon)
-    staged = let(keywords, h["geo"].alias("_vg"), h["com"].alias("_vc"), h["mea"].alias("_vm"))
+    staged = let(spread(keywords), h["geo"].alias("_vg"), h["com"].alias("_vc"), h["mea"].alias("_vm"))
     v = variants_from_facets(F.col(keyword), F.col("_vg"), F.col("_vc"), F.col("_vm"), max_variants, broad)
     return staged.select(*cols, F.posexplode(v).alias("variant_ord", "variant"))
 

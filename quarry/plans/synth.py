@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import JSWS
+from ..session import spread
 from ..sources.tables import read_table
 
 ITEMS_PER_RESPONSE = 50
@@ -52,7 +53,7 @@ def _responses(items: DataFrame, key: str, source: Column, wrap_pre: str, wrap_p
 
 
 def openalex_responses(spark, sf) -> DataFrame:
-    d = read_table(spark, sf, "documents")
+    d = spread(read_table(spark, sf, "documents"))
     k = F.col("doc_id")
     text = F.coalesce(F.col("text"), F.lit(""))
     first = F.substring_index(text, "\n", 1)

@@ -52,3 +52,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def spread(df):
+    """Spread CPU-heavy per-row work over all cores when the input is under-partitioned.
+
+    A single-row-group file scans as one task; per-row parsing/scoring then
+    runs on one core.  When the DataFrame has fewer partitions than the
+    cluster's default parallelism it is round-robin repartitioned to that
+    parallelism; on a cluster scan (thousands of splits) this is a no-op, so
+    no shuffle is added at scale.  Streaming DataFrames pass through.
+    """
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
