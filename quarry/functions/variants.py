@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as K
-from .lexicon import Lexicon, matched_terms
+from .lexicon import Lexicon, grams, match_terms, matched_terms, tokens
 from .text import _s
 
 
@@ -31,13 +31,21 @@ def _words_variant(g: Column, c: Column, m: Column) -> Column:
     return F.trim(F.array_join(words, " "))
 
 
-def facet_hits(keyword, lexicon: Lexicon | None = None) -> dict:
-    """C02 + C29 per facet: the subsumption-free hits of a keyword line."""
+def facet_hits(keyword, lexicon: Lexicon | None = None, grams_col: Column | None = None) -> dict:
+    """C02 + C29 per facet: the subsumption-free hits of a keyword line.
+
+    ``grams_col`` (the keyword's n-grams, see ``lexicon.grams``) lets a caller
+    tokenise the line once for all three facets.
+    """
     lx = lexicon or Lexicon.reference()
     kw = _s(keyword)
-    return {"geo": drop_subsumed(matched_terms(kw, lx.geography)),
-            "com": drop_subsumed(matched_terms(kw, lx.commodity)),
-            "mea": drop_subsumed(matched_terms(kw, lx.measure))}
+    if grams_col is None:
+        return {"geo": drop_subsumed(matched_terms(kw, lx.geography)),
+                "com": drop_subsumed(matched_terms(kw, lx.commodity)),
+                "mea": drop_subsumed(matched_terms(kw, lx.measure))}
+    return {"geo": drop_subsumed(match_terms(kw, grams_col, lx.geography)),
+            "com": drop_subsumed(match_terms(kw, grams_col, lx.commodity)),
+            "mea": drop_subsumed(match_terms(kw, grams_col, lx.measure))}
 
 
 def variants_from_facets(keyword, geo: Column, com: Column, mea: Column,

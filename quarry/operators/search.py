@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.lexicon import Lexicon
+from ..functions.lexicon import Lexicon, grams, tokens
 from ..functions.variants import facet_hits, variants_from_facets
 from ..session import spread
 from .scoring import let
@@ -24,8 +24,10 @@ def expand_variants(keywords: DataFrame, max_variants: int = K.MAX_QUERY_VARIANT
     reads them several times.
     """
     cols = keywords.columns
-    h = facet_hits(F.col(keyword), lexicon)
-    staged = let(spread(keywords), h["geo"].alias("_vg"), h["com"].alias("_vc"), h["mea"].alias("_vm"))
+    lx = lexicon or Lexicon.reference()
+    toks = let(spread(keywords), grams(tokens(F.col(keyword)), lx.max_words()).alias("_vgrams"))
+    h = facet_hits(F.col(keyword), lx, F.col("_vgrams"))
+    staged = let(toks, h["geo"].alias("_vg"), h["com"].alias("_vc"), h["mea"].alias("_vm"))
     v = variants_from_facets(F.col(keyword), F.col("_vg"), F.col("_vc"), F.col("_vm"), max_variants, broad)
     return staged.select(*cols, F.posexplode(v).alias("variant_ord", "variant"))
 
