@@ -218,12 +218,11 @@ def merge_left(left: DataFrame, size: int, min_piece: int, merge: int) -> DataFr
     A group has at most ``merge`` * ``open_windows`` windows of ``size`` ids, whatever the input's size.
     """
 
-    def run(key, batches):
+    def run(key, table):
         group = key[0].as_py()
 
         def pieces():
-            rows = [r for b in batches for r in rows_of([b], "doc_id", "start", "doc_tokens", "ids")]
-            yield from sorted(rows, key=lambda r: (-len(r[3]), r[0] is None, r[0], r[1], r[3]))
+            yield from sorted(rows_of([table], "doc_id", "start", "doc_tokens", "ids"), key=lambda r: (-len(r[3]), r[0] is None, r[0], r[1], r[3]))
 
         def emitted():
             for out in place(pieces(), size, 8, min_piece):
@@ -243,7 +242,7 @@ def merge_left(left: DataFrame, size: int, min_piece: int, merge: int) -> DataFr
                 yield from powers(last)
 
         rows = (row for n, w in enumerate(emitted()) for row in _rows(w, _MERGED + group * _ROOM + n))
-        yield from chunks(rows, _PIECE_ARROW)
+        return pa.Table.from_batches(chunks(rows, _PIECE_ARROW), schema=_PIECE_ARROW)
 
     grouped = left.withColumn("grp", F.expr(f"cast(floor(part / {merge}) as int)")).groupBy("grp")
     return grouped.applyInArrow(run, _PIECE)
