@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from quarry.llm import decontam, lines, neardup, packing, quality
+from quarry.llm import ann, chat, decontam, lines, neardup, packing, quality, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,11 @@ def op1(spark, sf_dir):
     return decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_nearest")
+def op2(spark, sf_dir):
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_packing")
 def op3(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
@@ -73,6 +78,27 @@ def op4(spark, sf_dir):
     return lines.line_dedup(_table(spark, sf_dir, "documents"))
 
 
+_TEMPLATE = "</s>[INST] ok [/INST]"
+_ESC = "replace(replace(replace({}, '\\', '\\\\'), '<', '<\\'), '[', '[\\')"
+
+
+@query(
+    "op5_chat_format",
+    f"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-1, 0, 'user', '{_TEMPLATE}'), (-1, 1, 'assistant', '{_TEMPLATE}')),
+    f AS (SELECT *, role = 'assistant' AS loss, length(replace({_ESC.format("role")}, '|', '|\\')) + length({_ESC.format("text")}) + 5 + 8 AS n FROM c)
+    SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (loss), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (loss), '')) AS loss_sha256, sum(n)::BIGINT AS formatted_chars
+    FROM f GROUP BY conv_id""",
+)
+def op5(spark, sf_dir):
+    ours = spark.createDataFrame([(-1, 0, "user", _TEMPLATE), (-1, 1, "assistant", _TEMPLATE)], "conv_id long, turn long, role string, text string")
+    every = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(ours)
+    return chat.read_back(chat.format_records(chat.turn_records(every)))
+
+
 @query(
     "op8_near_dedup",
     rf"""
@@ -92,6 +118,24 @@ def op8(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85).drop("class_id")
 
 
+#: The contract's rules.
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query(
+    "op9_url_filter",
+    f"""
+    WITH r(h, p, v) AS (VALUES {", ".join(map(str, RULES))}),
+    u AS (SELECT row_number() OVER () AS n, page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{_UP}', '{_LOW}'), '') AS host,
+                 coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+    SELECT any_value(page_id) AS page_id, any_value(host) AS host, any_value(path) AS path,
+           max_by(h || p, length(h || p)) AS rule, coalesce(max_by(v, length(h || p)), 'allow') AS verdict
+    FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n""",
+)
+def op9(spark, sf_dir):
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), spark.createDataFrame(RULES, "host string, path string, action string"))
+
+
 @query("op10_quality")
 def op10(spark, sf_dir):
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
