@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from quarry.llm import ann, chat, decontam, lines, neardup, packing, quality, urlfilter
+from quarry.llm import ann, chat, decontam, extract, langid, lines, neardup, packing, quality, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -99,6 +99,17 @@ def op5(spark, sf_dir):
     return chat.read_back(chat.format_records(chat.turn_records(every)))
 
 
+@query("op6_language_id")
+def op6(spark, sf_dir):
+    return langid.identify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages"))
+
+
+@query("op7_html_extraction")
+def op7(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    return extract.extract(pages, extract.fit(pages))
+
+
 @query(
     "op8_near_dedup",
     rf"""
