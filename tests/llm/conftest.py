@@ -1,0 +1,16 @@
+"""The awkward small tables, as fixtures."""
+
+import pytest
+from conftest_llm import DOCS, SCHEMA
+
+
+@pytest.fixture
+def docs(spark):
+    """With two more columns, whose names clash with what operators add."""
+    rows = [(*r, 7, "x") for r in DOCS]
+    return spark.createDataFrame(rows, SCHEMA + ", score int, n_lines string").repartition(3)
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
