@@ -35,6 +35,8 @@ _SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.
 HASHES = 140
 #: Hashes compared before the posterior is looked at again.
 BATCH = 20
+#: Remainders of hashed ids by which texts are filtered before they are shuffled.
+FILTER = 1 << 20
 
 
 class WordHashes(dict):
@@ -226,7 +228,9 @@ def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, miss: fl
     bounds = least_matches(threshold, miss)
     keys = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 2 * b * rows + 1, 2 * rows)).alias("key")) for b in range(HASHES // rows)))
     posted = reps.select("cls", F.inline(keys))
-    full = posted.groupBy("key").agg(F.count("*").alias("members"), F.min("band").alias("band"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("mark")).filter("members > 1")
+    shared = posted.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
+    posted = stored(posted.join(shared, "key"), "posted")
+    full = posted.groupBy("key").agg(F.count("*").alias("members"), F.min("band").alias("band"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("mark"))
     once = full.groupBy("members", "low", "high", "mark").agg(F.min(F.struct("band", "key")).alias("first")).select("members", "first.band", "first.key")
     members = stored(posted.select("key", "cls").join(once, "key"), "buckets")
     sigs = reps.select("cls", "sig")
@@ -256,7 +260,10 @@ def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, miss: fl
         yield from chunks(out(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     wanted = survivors.select("cls").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("cls"), "text").join(wanted, "cls", "left_semi")
+    # texts that can't be wanted stay where they are: a broadcast of at most FILTER remainders
+    remainder = lambda c: F.expr(f"pmod(xxhash64({c}), {FILTER})")
+    maybe = F.broadcast(wanted.select(remainder("cls").alias("remainder")).distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("cls"), "text").withColumn("remainder", remainder("cls")).join(maybe, "remainder", "left_semi").select("cls", "text")
     order = ["key", "ti", "tj"]
     sets = survivors.join(texts, "cls").repartition(*order).sortWithinPartitions(*order)
     return sets.mapInArrow(exact, "a long, b long")
