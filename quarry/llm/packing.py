@@ -248,7 +248,7 @@ def merge_left(left: DataFrame, size: int, min_piece: int, merge: int) -> DataFr
     return grouped.applyInArrow(run, _PIECE)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, open_windows: int = 32, min_piece: int = 16, merge: int = 32, cached_chunks: int = 300_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, open_windows: int = 32, min_piece: int = 16, merge: int = 8, cached_chunks: int = 300_000) -> DataFrame:
     """A row per piece: which ids of which document stand where in which sequence."""
     small_batches(docs.sparkSession)
     placed = stored(place_partitions(docs, tokenizer_path, size, open_windows, min_piece, cached_chunks), "packed")
