@@ -143,9 +143,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
     order = [F.col("h1"), F.col("h2"), F.col("doc_id").desc()]
     ranged = lines.repartitionByRange(*order).sortWithinPartitions(*order, "text_crc", "pos")
     found = stored(ranged.mapInArrow(lambda it: stream_keys(it, min_docs), _FOUND), "line-found")
-    # at most two rows a partition
     edges = found.filter(F.col("kind") == EDGE).groupBy("h1", "h2").agg(F.sum("n_docs").alias("docs"), F.max("doc_id").alias("top")).filter(F.col("docs") >= min_docs)
-    late = found.filter(F.col("kind") == OPEN).select("h1", "h2", "doc_id", "text_crc", "pos").join(edges, ["h1", "h2"]).filter(F.col("doc_id") != F.col("top"))
+    late = found.filter(F.col("kind") == OPEN).select("h1", "h2", "doc_id", "text_crc", "pos").join(F.broadcast(edges), ["h1", "h2"])  # at most two rows a partition
+    late = late.filter(F.col("doc_id") != F.col("top"))
     sure = found.filter(F.col("kind") == DROP)
     return sure.select("doc_id", "text_crc", "pos").unionByName(late.select("doc_id", "text_crc", "pos"))
 
