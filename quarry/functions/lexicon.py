@@ -2,21 +2,19 @@
 
 A term hits a text iff ``(^|[^a-z0-9]) term ([^a-z0-9]|$)`` matches with
 ASCII case folding, the term's inner spaces matching any run of
-(ECMAScript) whitespace.  Evaluating one regex per term per row costs
-O(|lexicon| x |text|); instead each text is tokenised once:
-
-1. fold A-Z to a-z;
-2. every run of characters that is neither [a-z0-9] nor whitespace becomes
-   a ``|`` separator token (a term can never span it);
-3. whitespace runs split the remaining text into words;
-4. all 1..k-grams of the token stream are formed (k = longest term in
-   words); a gram containing ``|`` never equals a term;
-5. ``array_intersect(terms, grams)`` keeps lexicon order and de-duplicates.
-
-That is exact for terms made of ``[a-z0-9 ]``; any other term (e.g.
-``jet a-1``) is matched with its literal regex and merged in lexicon order.
-Stems (``(^|[^a-z0-9])stem[a-z]*``) hit iff some word starts with the stem.
-Cost per row is O(words x k), independent of the lexicon size.
+(ECMAScript) whitespace.  One regex per term per row would cost
+O(|lexicon| x |text|); instead each text is scanned once for all terms:
+
+1. the terms are folded into one prefix-tree pattern inside a look-ahead, so
+   that at every word start the longest term there is captured, also where
+   terms overlap (``regexp_extract_all``, constant pattern);
+2. captured texts are lower-cased and their whitespace is collapsed;
+3. each stands for itself and for the terms that begin it as whole words
+   (a constant map);
+4. ``array_intersect(terms, hits)`` keeps lexicon order and de-duplicates.
+
+Stems (``(^|[^a-z0-9])stem[a-z]*``) hit iff some word starts with the stem;
+they are scanned for in the same way, without the boundary at the end.
 """
 
 from __future__ import annotations
@@ -28,10 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as K
-from .text import JSWS, _s, any_of, ascii_lower
-
-_SIMPLE_TERM = re.compile(r"^[a-z0-9]+( [a-z0-9]+)*$")
-
+from .text import JSWS, _s, ascii_lower
 
 def _clean(term: str) -> str:
     return re.sub(r"\s+", " ", term.strip().lower())
@@ -67,10 +62,6 @@ class Lexicon:
                 "measure": self.measure, "penalty": self.penalty,
                 "dataset_hints": self.dataset_hints}
 
-    def max_words(self) -> int:
-        terms = [t for ts in self.facets().values() for t in ts]
-        return max([len(t.split(" ")) for t in terms] + [1])
-
     def rows(self):
         """The lexicon as table rows (facet, ord, term, kind)."""
         out = []
@@ -80,87 +71,81 @@ class Lexicon:
         return out
 
 
-def term_regex(term: str) -> str:
-    """The spec regex of one term, in Java syntax (used for non-simple terms)."""
-    body = (JSWS + "+").join(_java_quote(w) for w in _clean(term).split(" "))
-    return r"(?i)(^|[^a-z0-9])" + body + r"([^a-z0-9]|$)"
+_NO_WORD_BEFORE, _NO_WORD_AFTER = "(?<![a-z0-9])", "(?![a-z0-9])"
 
 
 def _java_quote(w: str) -> str:
     return re.sub(r"([.*+?^${}()|\[\]\\/-])", r"\\\1", w)
 
 
-def tokens(text) -> Column:
-    """Word / separator token stream of a text (step 1-3 above)."""
-    t = ascii_lower(_s(text))
-    t = F.regexp_replace(t, r"[^a-z0-9" + JSWS[1:-1] + r"]+", " | ")
-    t = F.trim(F.regexp_replace(t, JSWS + "+", " "))
-    return F.split(t, " ")
+def _tree_pattern(terms: list[str]) -> str:
+    """Alternation of the terms, folded by common prefixes; longer terms are tried first."""
+    tree: dict = {}
+    for t in terms:
+        node = tree
+        for ch in t:
+            node = node.setdefault(ch, {})
+        node[""] = {}
 
+    def pattern(node: dict) -> str:
+        parts = [(JSWS + "+" if ch == " " else _java_quote(ch)) + pattern(child) for ch, child in node.items() if ch]
+        if not parts:
+            return ""
+        body = parts[0] if len(parts) == 1 and "" not in node else "(?:" + "|".join(parts) + ")"
+        return body + "?" if "" in node else body
 
-def _gram_of(toks: Column, n: int):
-    return lambda i: F.concat_ws(" ", *[F.get(toks, i + j) for j in range(n)])
+    return pattern(tree)
 
 
-def grams(toks: Column, k: int) -> Column:
-    """All 1..k-grams of a token array, joined by single spaces.
+def _begins(term: str, longer: str, whole: bool) -> bool:
+    return longer.startswith(term) and (not whole or re.match(r"[^a-z0-9]|$", longer[len(term):]) is not None)
 
-    Uses O(1) ``get`` lookups per gram (``slice`` would copy the whole array
-    per call and make long texts quadratic).
-    """
-    parts = [toks]
-    for n in range(2, k + 1):
-        parts.append(F.when(F.size(toks) >= n, F.transform(
-            F.sequence(F.lit(0), F.size(toks) - n),
-            _gram_of(toks, n)))
-            .otherwise(F.array().cast("array<string>")))
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
 
+def term_hits(text, terms, whole: bool = True) -> Column:
+    """Every term that occurs in the text (any order, maybe repeated), from one scan.
 
-def match_terms(text, grams_col: Column, terms) -> Column:
-    """Terms (in lexicon order) that occur as whole words in the text."""
-    terms = [_clean(t) for t in terms]
+    ``whole=False`` drops the boundary at the end (stems).
+    """
+    terms = sorted({_clean(t) for t in terms})
     if not terms:
         return F.array().cast("array<string>")
-    simple = [t for t in terms if _SIMPLE_TERM.match(t)]
-    special = [t for t in terms if not _SIMPLE_TERM.match(t)]
-    pool = grams_col
-    if special:
-        s = _s(text)
-        extra = F.filter(F.array(*[F.when(s.rlike(term_regex(t)), F.lit(t)) for t in special]),
-                         lambda x: x.isNotNull())
-        pool = F.concat(grams_col, extra)
-    return F.array_intersect(F.array(*[F.lit(t) for t in terms]), pool)
-
-
-def match_stems(toks: Column, stems) -> Column:
-    """C04 (stems): stems that start some word of the text."""
-    stems = [_clean(s) for s in stems]
-    if not stems:
-        return F.array().cast("array<string>")
-    words = F.filter(toks, lambda w: w != "|")
-    return F.filter(F.array(*[F.lit(s) for s in stems]),
-                    lambda s: F.exists(words, lambda w: w.startswith(s)))
+    found = F.regexp_extract_all(_s(text), F.lit(
+        "(?i)" + _NO_WORD_BEFORE + "(?=(" + _tree_pattern(terms) + ")" + (_NO_WORD_AFTER if whole else "") + ")"), 1)
+    canonical = F.array_distinct(F.transform(found, lambda t: F.regexp_replace(ascii_lower(t), JSWS + "+", " ")))
+    shorter = {t: [x for x in terms if x != t and _begins(x, t, whole)] for t in terms}
+    shorter = {t: xs for t, xs in shorter.items() if xs}
+    if not shorter:
+        return canonical
+    pairs = [F.struct(F.lit(t).alias("key"), F.array(*[F.lit(x) for x in xs]).alias("value"))
+             for t, xs in shorter.items()]
+    extra = F.flatten(F.transform(canonical, lambda t: F.flatten(F.transform(
+        F.filter(F.array(*pairs), lambda p: p["key"] == t), lambda p: p["value"]))))
+    return F.when(F.size(canonical) > 0, F.concat(canonical, extra)).otherwise(canonical)
+
+
+def match_terms(hits: Column, terms) -> Column:
+    """The terms, in lexicon order, among a text's ``term_hits``."""
+    terms = [_clean(t) for t in terms]
+    return F.array_intersect(F.array(*[F.lit(t) for t in terms]), hits) if terms \
+        else F.array().cast("array<string>")
 
 
 def includes_any(text, terms) -> Column:
-    """At least one term occurs as a whole word (single alternation regex)."""
-    alts = "|".join((JSWS + "+").join(_java_quote(w) for w in _clean(t).split(" ")) for t in terms)
-    return _s(text).rlike(r"(?i)(^|[^a-z0-9])(" + alts + r")([^a-z0-9]|$)") if terms else F.lit(False)
+    """At least one term occurs as a whole word (one scan)."""
+    if not terms:
+        return F.lit(False)
+    return _s(text).rlike("(?i)" + _NO_WORD_BEFORE + "(?:" + _tree_pattern(sorted({_clean(t) for t in terms})) + ")"
+                          + _NO_WORD_AFTER)
 
 
 def matched_terms(text, terms) -> Column:
-    """C02 as a standalone Column function (tokenises the text itself)."""
-    k = max([len(_clean(t).split(" ")) for t in terms] + [1])
-    return match_terms(text, grams(tokens(text), k), terms)
+    """C02 as a standalone Column function."""
+    return match_terms(term_hits(text, terms), terms)
 
 
 def matched_penalties(text, terms, stems) -> Column:
     """Whole-word penalty terms, then word-initial stems."""
-    toks = tokens(text)
-    k = max([len(_clean(t).split(" ")) for t in terms] + [1])
-    return F.concat(match_terms(text, grams(toks, k), terms), match_stems(toks, stems))
+    return F.concat(matched_terms(text, terms), match_terms(term_hits(text, stems, whole=False), stems))
 
 
-__all__ = ["Lexicon", "tokens", "grams", "match_terms", "match_stems", "includes_any",
-           "matched_terms", "matched_penalties", "term_regex", "any_of"]
+__all__ = ["Lexicon", "term_hits", "match_terms", "includes_any", "matched_terms", "matched_penalties"]

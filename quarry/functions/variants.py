@@ -3,8 +3,9 @@
 A keyword line is matched against the geography, commodity and measure
 facets; each facet's hits are sorted longest-first (stable) and terms that
 are substrings of an earlier kept term are dropped.  The probe set is the
-cross product geography(<=1, specific before broad) x commodity(<=2) x
-measure(<=3) with repeated words removed; the line itself stays first.
+cross product of the first geography (specific before broad), commodity and
+measure terms, as many of each as the caller says, with repeated words
+removed; the line itself stays first.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import constants as K
-from .lexicon import Lexicon, grams, match_terms, matched_terms, tokens
+from .lexicon import Lexicon, match_terms, term_hits
 from .text import _s
 
 
@@ -31,45 +32,48 @@ def _words_variant(g: Column, c: Column, m: Column) -> Column:
     return F.trim(F.array_join(words, " "))
 
 
-def facet_hits(keyword, lexicon: Lexicon | None = None, grams_col: Column | None = None) -> dict:
-    """C02 + C29 per facet: the subsumption-free hits of a keyword line.
+def facet_hits(lexicon: Lexicon, hits: Column) -> dict:
+    """C02 + C29 per facet: the subsumption-free hits of a keyword line, from its ``term_hits``."""
+    return {"geo": drop_subsumed(match_terms(hits, lexicon.geography)),
+            "com": drop_subsumed(match_terms(hits, lexicon.commodity)),
+            "mea": drop_subsumed(match_terms(hits, lexicon.measure))}
 
-    ``grams_col`` (the keyword's n-grams, see ``lexicon.grams``) lets a caller
-    tokenise the line once for all three facets.
-    """
-    lx = lexicon or Lexicon.reference()
-    kw = _s(keyword)
-    if grams_col is None:
-        return {"geo": drop_subsumed(matched_terms(kw, lx.geography)),
-                "com": drop_subsumed(matched_terms(kw, lx.commodity)),
-                "mea": drop_subsumed(matched_terms(kw, lx.measure))}
-    return {"geo": drop_subsumed(match_terms(kw, grams_col, lx.geography)),
-            "com": drop_subsumed(match_terms(kw, grams_col, lx.commodity)),
-            "mea": drop_subsumed(match_terms(kw, grams_col, lx.measure))}
+
+def keyword_hits(keyword, lexicon: Lexicon) -> Column:
+    """The terms of the three probe facets in a keyword line, from one scan; bind it before reading it."""
+    return term_hits(_s(keyword), [*lexicon.geography, *lexicon.commodity, *lexicon.measure])
 
 
 def variants_from_facets(keyword, geo: Column, com: Column, mea: Column,
-                         max_variants: int = K.MAX_QUERY_VARIANTS, broad=None) -> Column:
-    """C28 from precomputed facet hits (see ``facet_hits``)."""
+                         max_variants: int | None = None, broad=None, max_geography: int = 1,
+                         max_commodity: int = 2, max_measure: int = 3) -> Column:
+    """C28 from precomputed facet hits (see ``facet_hits``).
+
+    The line itself, then the probes; all of them unless ``max_variants``
+    (the line included) says how many to keep.
+    """
     broad = list(broad if broad is not None else K.BROAD_GEOGRAPHY_TERMS)
     kw = _s(keyword)
     empty = F.array(F.lit(""))
     specific = F.filter(geo, lambda t: ~t.isin(broad)) if broad else geo
     ranked = F.concat(specific, geo)
-    gp = F.when(F.size(ranked) > 0, F.slice(ranked, 1, 1)).otherwise(empty)
-    cp = F.when(F.size(com) > 0, F.slice(com, 1, 2)).otherwise(empty)
-    mp = F.when(F.size(mea) > 0, F.slice(mea, 1, 3)).otherwise(empty)
+    gp = F.when(F.size(ranked) > 0, F.array_distinct(F.slice(ranked, 1, max_geography))).otherwise(empty)
+    cp = F.when(F.size(com) > 0, F.slice(com, 1, max_commodity)).otherwise(empty)
+    mp = F.when(F.size(mea) > 0, F.slice(mea, 1, max_measure)).otherwise(empty)
     cross = F.flatten(F.transform(gp, lambda g: F.flatten(F.transform(
         cp, lambda c: F.transform(mp, lambda m: _words_variant(g, c, m))))))
     low = F.lower(kw)
     probes = F.array_distinct(F.filter(cross, lambda v: (v != "") & (v != low)))
-    out = F.concat(F.array(kw), F.slice(probes, 1, max(0, max_variants - 1))) if max_variants > 1 \
-        else F.array(kw)
-    return F.when((F.size(com) == 0) & (F.size(mea) == 0), F.array(kw)).otherwise(out)
+    if max_variants is not None:
+        probes = F.slice(probes, 1, max(0, max_variants - 1))
+    return F.when((F.size(com) == 0) & (F.size(mea) == 0), F.array(kw)).otherwise(F.concat(F.array(kw), probes))
+
 
+def query_variants(keyword, max_variants: int | None = None, lexicon: Lexicon | None = None, broad=None) -> Column:
+    """C28 (+T05): ARRAY<STRING>, the line itself first, then its probes.
 
-def query_variants(keyword, max_variants: int = K.MAX_QUERY_VARIANTS,
-                   lexicon: Lexicon | None = None, broad=None) -> Column:
-    """C28 (+T05): ARRAY<STRING>, the line itself first, then <= max-1 probes."""
-    h = facet_hits(keyword, lexicon)
+    For many lines use ``operators.search.expand_variants``, which binds each step once.
+    """
+    lx = lexicon or Lexicon.reference()
+    h = facet_hits(lx, keyword_hits(keyword, lx))
     return variants_from_facets(keyword, h["geo"], h["com"], h["mea"], max_variants, broad)

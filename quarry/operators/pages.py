@@ -7,9 +7,8 @@ so each page is parsed once.  Everything after it (filters, numbering,
 first-wins de-dup, long-form cells) is built-in array/generator algebra on
 that struct: no shuffle, and each page's work stays in its own task.
 
-Scale: pages are independent; repartition by bytes upstream when bodies are
-large, and keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` low so a
-batch of multi-MB pages fits in memory.
+Scale: pages are independent, and Arrow batches are kept to a few hundred
+pages so that a batch of multi-MB bodies fits in memory.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import text as X
-from ..session import spread
+from ..session import small_batches
 
 TABLE_T = T.StructType([
     T.StructField("dom_index", T.IntegerType()),
@@ -73,8 +72,9 @@ def parse_pages(df: DataFrame, body: str = "html", base: str | None = "url", xml
     rides along for the image URL built later.
     """
     keep = list(keep if keep is not None else [c for c in df.columns if c != body])
+    small_batches(df.sparkSession)
     xml_col = xml if isinstance(xml, str) else None
-    src = spread(df).select(*keep, F.col(body).alias("_body"),
+    src = df.select(*keep, F.col(body).alias("_body"),
                     (F.col(base) if base else F.lit(None).cast("string")).alias("_base"),
                     (F.col(xml_col) if xml_col else F.lit(bool(xml))).alias("_xml"))
     out_schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("parsed", PARSED_T)])
@@ -231,14 +231,14 @@ def dataset_links(parsed: DataFrame, ids: list[str], hosts: list[str] | None = N
 
 # -- X10 / F14 / T04 ---------------------------------------------------------------------
 
-def landing_files(parsed: DataFrame, ids: list[str], limit: int = K.DATASET_FILE_LIMIT * 3,
+def landing_files(parsed: DataFrame, ids: list[str], limit: int | None = None,
                   words: list[str] | None = None) -> DataFrame:
-    """Download-ish links (F14) of a landing page, unique by URL, first ``limit``."""
+    """Download-ish links (F14) of a landing page, unique by URL, all of them unless ``limit``."""
     text_re = (X.WB_BEFORE + "(?i:(" + "|".join(re.escape(w) for w in words) + "))" + X.WB_AFTER
                if words else X.DOWNLOAD_TEXT_RE)
     cand = F.filter(F.col("parsed.anchors"), lambda a: (a["tag"] == "a") & a["url"].isNotNull()
                     & (X.is_data_file_url(a["url"]) | a["text"].rlike(text_re)))
-    firsts = F.slice(first_by(cand, "url"), 1, limit)
+    firsts = first_by(cand, "url") if limit is None else F.slice(first_by(cand, "url"), 1, limit)
     out = parsed.select(*ids, F.posexplode(firsts).alias("file_ord", "a"))
     name = F.coalesce(F.nullif(X.file_name_from_url(F.col("a.url")), F.lit("")),
                       X.safe_file_name(F.col("a.text"), "dataset-file"))

@@ -1,12 +1,10 @@
 """C11 relevance scoring and the F01-F04 gates.
 
 ``score_candidates`` adds the M7 relevance columns to any DataFrame with a
-title and an abstract column.  It is row-local (no shuffle; an
-under-partitioned input is spread over the cores first) and also runs on a
-streaming DataFrame.  Each text is tokenised once and all facets are
-matched against the same gram array (see ``functions.lexicon``); the
-intermediates are bound behind one-row generators so Catalyst cannot inline
-them into pushed-down filters.
+title and an abstract column.  It is row-local (no shuffle) and also runs on
+a streaming DataFrame.  Each text is scanned once for the terms of all
+facets (see ``functions.lexicon``); the intermediates are bound behind
+one-row generators so Catalyst cannot inline them into pushed-down filters.
 """
 
 from __future__ import annotations
@@ -15,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.lexicon import Lexicon, grams, match_stems, match_terms, tokens
-from ..session import spread
+from ..functions.lexicon import Lexicon, match_terms, term_hits
+
 
 def let(df: DataFrame, *exprs) -> DataFrame:
     """Bind expressions once: append them as columns via a one-row ``inline``.
@@ -47,28 +45,23 @@ def score_candidates(df: DataFrame, lexicon: Lexicon | None = None, title: str =
     """
     lx = lexicon or Lexicon.reference()
     w = lx.weights
-    k = lx.max_words()
     cols = df.columns
     t, a = F.col(title), F.col(abstract)
-    # Each expensive intermediate (tokens, grams, hits) is bound once behind a
-    # one-row generator: filters on the score cannot be inlined below it, so
-    # the n-gram arrays are built exactly once per row.
-    staged = let(spread(df), tokens(t).alias("_qt_toks"), tokens(a).alias("_qa_toks"))
-    staged = let(staged, grams(F.col("_qt_toks"), k).alias("_qt_grams"),
-                 grams(F.col("_qa_toks"), k).alias("_qa_grams"))
+    facets = [*lx.geography, *lx.commodity, *lx.measure, *lx.penalty]
+    # Each scan is bound once behind a one-row generator: filters on the score
+    # cannot be inlined below it, so a text is scanned once per row.
+    staged = let(df, term_hits(t, [*facets, *lx.dataset_hints]).alias("_th"), term_hits(a, facets).alias("_ah"),
+                 term_hits(t, lx.penalty_stems, whole=False).alias("_ts"),
+                 term_hits(a, lx.penalty_stems, whole=False).alias("_as"))
+    th, ah = F.col("_th"), F.col("_ah")
     hits = let(
         staged,
-        match_terms(t, F.col("_qt_grams"), lx.geography).alias("_tg"),
-        match_terms(a, F.col("_qa_grams"), lx.geography).alias("_ag"),
-        match_terms(t, F.col("_qt_grams"), lx.commodity).alias("_tc"),
-        match_terms(a, F.col("_qa_grams"), lx.commodity).alias("_ac"),
-        match_terms(t, F.col("_qt_grams"), lx.measure).alias("_tm"),
-        match_terms(a, F.col("_qa_grams"), lx.measure).alias("_am"),
-        F.concat(match_terms(t, F.col("_qt_grams"), lx.penalty),
-                 match_stems(F.col("_qt_toks"), lx.penalty_stems)).alias("_tp"),
-        F.concat(match_terms(a, F.col("_qa_grams"), lx.penalty),
-                 match_stems(F.col("_qa_toks"), lx.penalty_stems)).alias("_ap"),
-        (F.size(match_terms(t, F.col("_qt_grams"), lx.dataset_hints)) > 0).alias("has_dataset_hint"),
+        match_terms(th, lx.geography).alias("_tg"), match_terms(ah, lx.geography).alias("_ag"),
+        match_terms(th, lx.commodity).alias("_tc"), match_terms(ah, lx.commodity).alias("_ac"),
+        match_terms(th, lx.measure).alias("_tm"), match_terms(ah, lx.measure).alias("_am"),
+        F.concat(match_terms(th, lx.penalty), match_terms(F.col("_ts"), lx.penalty_stems)).alias("_tp"),
+        F.concat(match_terms(ah, lx.penalty), match_terms(F.col("_as"), lx.penalty_stems)).alias("_ap"),
+        (F.size(match_terms(th, lx.dataset_hints)) > 0).alias("has_dataset_hint"),
     )
     raw = (_facet_points(F.col("_tg"), F.col("_ag"), w["title_geography"], w["abstract_geography"])
            + _facet_points(F.col("_tc"), F.col("_ac"), w["title_commodity"], w["abstract_commodity"])

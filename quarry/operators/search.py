@@ -10,24 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.lexicon import Lexicon, grams, tokens
-from ..functions.variants import facet_hits, variants_from_facets
-from ..session import spread
+from ..functions.lexicon import Lexicon
+from ..functions.variants import facet_hits, keyword_hits, variants_from_facets
 from .scoring import let
 
 
-def expand_variants(keywords: DataFrame, max_variants: int = K.MAX_QUERY_VARIANTS,
+def expand_variants(keywords: DataFrame, max_variants: int | None = None,
                     lexicon: Lexicon | None = None, keyword: str = "keyword", broad=None) -> DataFrame:
     """C28 per row, exploded: (…, variant_ord, variant).
 
-    Facet hits are bound once (generator "let") before the cross product
-    reads them several times.
+    The scan and the facet hits are bound once (generator "let") before
+    later steps read them several times.  All variants unless ``max_variants``.
     """
     cols = keywords.columns
     lx = lexicon or Lexicon.reference()
-    toks = let(spread(keywords), grams(tokens(F.col(keyword)), lx.max_words()).alias("_vgrams"))
-    h = facet_hits(F.col(keyword), lx, F.col("_vgrams"))
-    staged = let(toks, h["geo"].alias("_vg"), h["com"].alias("_vc"), h["mea"].alias("_vm"))
+    scanned = let(keywords, keyword_hits(F.col(keyword), lx).alias("_vh"))
+    h = facet_hits(lx, F.col("_vh"))
+    staged = let(scanned, h["geo"].alias("_vg"), h["com"].alias("_vc"), h["mea"].alias("_vm"))
     v = variants_from_facets(F.col(keyword), F.col("_vg"), F.col("_vc"), F.col("_vm"), max_variants, broad)
     return staged.select(*cols, F.posexplode(v).alias("variant_ord", "variant"))
 

@@ -17,16 +17,18 @@ LX = CORPUS_LEXICON
 
 
 def _lines(spark, sf):
-    conv = read_table(spark, sf, "conversations").filter(F.col("role") == "user")
-    return keyword_lines(conv, "text", ["conv_id", "turn"])
+    return keyword_lines(read_table(spark, sf, "conversations"), "text", ["conv_id", "turn"])
 
 
-_LINES_SQL = """
-SELECT conv_id, turn, line_no - 1 AS line_no, trim(raw) AS keyword
-FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
-             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no
-      FROM conversations WHERE role = 'user')
-WHERE trim(raw) <> '' AND NOT starts_with(trim(raw), '#')"""
+# ECMAScript whitespace, spelt out for DuckDB's regex
+_WS = r"[\s\x0B\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+_LINES_SQL = f"""
+SELECT conv_id, turn, line_no - 1 AS line_no, keyword
+FROM (SELECT conv_id, turn, line_no, regexp_replace(raw, '^{_WS}+|{_WS}+$', '', 'g') AS keyword
+      FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no
+            FROM conversations))
+WHERE keyword <> '' AND NOT starts_with(keyword, '#')"""
 
 
 def _dropsub(x: str) -> str:
@@ -36,7 +38,7 @@ def _dropsub(x: str) -> str:
             f"lambda y: contains(y, t))), false))")
 
 
-def variants_sql(max_variants: int = K.MAX_QUERY_VARIANTS) -> str:
+def variants_sql() -> str:
     broad = "[" + ", ".join(q(b) for b in CORPUS_BROAD) + "]::VARCHAR[]"
     build = ("array_to_string(" + O.odistinct(
         "list_filter(string_split(array_to_string(list_filter([a, b, z], lambda y: y <> ''), ' '), ' '), "
@@ -52,7 +54,7 @@ x AS (SELECT *,
     flatten(list_transform(CASE WHEN len(c) > 0 THEN c[1:2] ELSE [''] END, lambda b:
       list_transform(CASE WHEN len(m) > 0 THEN m[1:3] ELSE [''] END, lambda z: {build}))))) AS xprod FROM p),
 v AS (SELECT *, CASE WHEN len(c) = 0 AND len(m) = 0 THEN [keyword]
-  ELSE list_concat([keyword], ({O.odistinct("list_filter(xprod, lambda v: v <> '' AND v <> lower(keyword))")})[1:{max_variants - 1}])
+  ELSE list_concat([keyword], ({O.odistinct("list_filter(xprod, lambda v: v <> '' AND v <> lower(keyword))")}))
   END AS variants FROM x)
 SELECT conv_id, turn, line_no, keyword, i - 1 AS variant_ord, variants[i] AS variant
 FROM (SELECT *, generate_subscripts(variants, 1) AS i FROM v)"""
@@ -60,7 +62,7 @@ FROM (SELECT *, generate_subscripts(variants, 1) AS i FROM v)"""
 
 @register("c28_variants", variants_sql())
 def c28_variants(spark, sf):
-    return expand_variants(_lines(spark, sf), K.MAX_QUERY_VARIANTS, LX, broad=CORPUS_BROAD) \
+    return expand_variants(_lines(spark, sf), None, LX, broad=CORPUS_BROAD) \
         .select("conv_id", "turn", "line_no", "keyword", "variant_ord", "variant")
 
 
@@ -69,8 +71,8 @@ WITH v AS ({variants_sql()}),
 s AS (SELECT unnest([{', '.join(str(i) for i in range(len(K.ALL_SOURCES)))}]) AS source_ord,
              unnest([{', '.join(q(n) for n in K.ALL_SOURCES)}]) AS source)
 SELECT conv_id, turn, line_no, variant_ord, variant, source_ord, source
-FROM v, s WHERE strpos(lower(source), 'crossref') > 0 OR strpos(lower(source), 'zenodo') > 0""")
+FROM v, s""")
 def j06_search_plan(spark, sf):
-    v = expand_variants(_lines(spark, sf), K.MAX_QUERY_VARIANTS, LX, broad=CORPUS_BROAD)
-    return search_plan(v, "crossref, Zenodo").select(
+    v = expand_variants(_lines(spark, sf), None, LX, broad=CORPUS_BROAD)
+    return search_plan(v).select(
         "conv_id", "turn", "line_no", "variant_ord", "variant", "source_ord", "source")

@@ -1,69 +1,38 @@
-"""SparkSession helpers.
-
-Scale notes: AQE (coalesce + skew-join) is on so that the shuffle partition
-count can be sized for the largest stage and small stages are coalesced at
-runtime; Arrow batches are kept small because page bodies can be megabytes.
-"""
+"""SparkSession helper for local runs and submitted jobs."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def build_session(app: str = "quarry", cpus: int | str | None = None, shuffle_partitions: int | None = None,
+                  driver_memory: str | None = None, extra: dict | None = None) -> SparkSession:
+    """A session with UTC and small Arrow batches (page bodies can be megabytes).
 
-def build_session(app: str = "quarry", cpus: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "16g", extra: dict | None = None) -> SparkSession:
-    builder = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
-        .config("spark.driver.memory", driver_memory)
-    )
+    Under ``spark-submit`` the submitted master, memory and partition counts
+    hold; elsewhere the master is ``local[cpus]``.
+    """
+    builder = SparkSession.builder.appName(app)
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:  # not launched by spark-submit
+        builder = builder.master(f"local[{cpus or '*'}]").config("spark.ui.enabled", "false")
+        if driver_memory is not None:
+            builder = builder.config("spark.driver.memory", driver_memory)
+        if shuffle_partitions is not None:
+            builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    small_batches(spark)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint dir; set a scratch one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only in local tests, where it is unset, do we create a scratch
-    directory.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
-    return current
-
-
-def spread(df):
-    """Spread CPU-heavy per-row work over all cores when the input is under-partitioned.
-
-    A single-row-group file scans as one task; per-row parsing/scoring then
-    runs on one core.  When the DataFrame has fewer partitions than the
-    cluster's default parallelism it is round-robin repartitioned to that
-    parallelism; on a cluster scan (thousands of splits) this is a no-op, so
-    no shuffle is added at scale.  Streaming DataFrames pass through.
-    """
-    if df.isStreaming:
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Bound the Arrow batches handed to Python, unless the session's owner chose a size."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(rows))

@@ -1,7 +1,7 @@
 """S01-S03 keyword lines.
 
 A keyword file is read whole (``wholetext``) so the line ordinal survives;
-lines are trimmed, blanks and ``#`` comments dropped, order kept.  Files are
+lines are trimmed of all (ECMAScript) whitespace, CR included, blanks and ``#`` comments dropped, order kept.  Files are
 small; many files parallelise by file.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import JSWS
+
 
 def keyword_lines(df: DataFrame, text: str, order: list[str]) -> DataFrame:
     """Split a text column into keyword lines: (…order, line_no, keyword).
@@ -19,7 +21,7 @@ def keyword_lines(df: DataFrame, text: str, order: list[str]) -> DataFrame:
     """
     exploded = df.select(*order, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
                          .alias("line_no", "raw"))
-    kw = F.trim(F.col("raw"))
+    kw = F.regexp_replace("raw", f"^{JSWS}+|{JSWS}+$", "")
     return (exploded.select(*order, "line_no", kw.alias("keyword"))
             .filter((F.col("keyword") != "") & ~F.col("keyword").startswith("#")))
 
