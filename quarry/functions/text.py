@@ -69,8 +69,7 @@ def _code_point(n: Column) -> Column:
 
 def _decode_one_entity(m: Column) -> Column:
     """Decode one matched entity; unknown names and invalid code points stay literal."""
-    body = F.substring(m, 2, 1_000_000)  # drop '&'
-    code = F.regexp_replace(body, ";$", "")
+    code = F.regexp_replace(m, "^&|;$", "")
     lcode = F.lower(code)
     hexd = F.regexp_extract(lcode, r"^#x0*([0-9a-f]*)$", 1)
     is_hex = lcode.startswith("#x")
@@ -120,6 +119,11 @@ def strip_html(c) -> Column:
 
 # -- C06 ---------------------------------------------------------------------
 
+def _is_index(key: Column) -> Column:
+    """An integer-like key (ECMAScript array index, up to 2^32 - 2) iterates before the others."""
+    return key.rlike("^(0|[1-9][0-9]{0,9})$") & (key.try_cast("long") <= 4294967294)
+
+
 def reconstruct_abstract(inverted_index) -> Column:
     """MAP<STRING, ARRAY<INT>> token->positions -> text, no shuffle.
 
@@ -136,9 +140,8 @@ def reconstruct_abstract(inverted_index) -> Column:
         e["value"], lambda p: F.struct(
             p.alias("p"),
             # integer-like keys iterate first, ascending; the rest in map order
-            F.when(e["key"].rlike(r"^(0|[1-9][0-9]{0,8})$"), F.lit(0)).otherwise(F.lit(1)).alias("g"),
-            F.when(e["key"].rlike(r"^(0|[1-9][0-9]{0,8})$"), e["key"].cast("long"))
-             .otherwise(e["i"].cast("long")).alias("r"),
+            F.when(_is_index(e["key"]), F.lit(0)).otherwise(F.lit(1)).alias("g"),
+            F.when(_is_index(e["key"]), e["key"].cast("long")).otherwise(e["i"].cast("long")).alias("r"),
             e["key"].alias("key")))))
     ordered = F.array_sort(placed)
     last_per_pos = F.transform(F.array(ordered), lambda s: F.filter(
@@ -189,7 +192,10 @@ def dedupe_key(title, doi) -> Column:
 # -- C12 / C13 ---------------------------------------------------------------
 
 def slugify(doi, title, index) -> Column:
-    """(doi || title || row-i) lower-cased, non [a-z0-9] runs -> '-', trimmed, 80 chars."""
+    """(doi || title || row-i) lower-cased, non [a-z0-9] runs -> '-', trimmed, 80 chars (the ids' fixed format).
+
+    Different articles may share a slug: it is a label, never a join key.
+    """
     fallback = F.concat(F.lit("row-"), _c(index).cast("string"))
     base = F.coalesce(F.nullif(_s(doi), F.lit("")), F.nullif(_s(title), F.lit("")), fallback)
     slug = F.substring(
@@ -217,7 +223,9 @@ def _basename(p: Column) -> Column:
 
 def _url_path_decoded(u: Column) -> Column:
     """Percent-decoded path of an absolute URL, NULL if not a URL or undecodable."""
-    path = F.call_function("try_parse_url", u, F.lit("PATH"))
+    # a URL parser encodes what a URI parser rejects: white space, quotes, braces, bars and the like
+    legal = reduce(lambda c, ch: F.replace(c, F.lit(ch), F.lit(f"%{ord(ch):02X}")), ' "<>`{}|^\\', F.trim(u))
+    path = F.call_function("try_parse_url", legal, F.lit("PATH"))
     has_scheme = u.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
     decoded = F.call_function("try_url_decode", F.replace(path, F.lit("+"), F.lit("%2B")))
     return F.when(has_scheme, decoded)
@@ -359,11 +367,6 @@ def jats_image_url(pmcid, href) -> Column:
         F.concat(F.lit(K.PMC_ARTICLE_BASE), _s(pmcid), F.lit("/bin/"), name))
 
 
-def site_origin(url) -> Column:
-    """scheme://host[:port] of an absolute URL ('' if none)."""
-    return F.regexp_extract(_s(url), r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-
-
 # -- predicates F05-F14 -------------------------------------------------------
 
 def is_blocked_text(text) -> Column:

@@ -8,7 +8,8 @@ Scale notes
   shares ``doi:10.5281/zenodo``) is reduced to one row per map task before
   the shuffle, so even a key holding a third of all rows never lands whole
   in one task.
-* ``rank`` is a range-partitioned global sort (no single-partition window).
+* ``rank`` is a range-partitioned global sort, numbered by partition offsets
+  (no single-partition window over the rows).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.text import dedupe_key
+from ..shared import numbered
 from ..sources.tables import ORDER_COLUMNS
 
 
@@ -41,10 +43,10 @@ def keep_best(df: DataFrame, key: str = "dedupe_key", score: str = "score",
 
 
 def rank(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Score desc, then title by Unicode collation, then arrival order."""
+    """``rank`` = 0, 1, ... by score desc, then title by Unicode collation, then arrival order."""
     order = [c for c in (order or ORDER_COLUMNS) if c in df.columns]
-    return df.orderBy(F.col("score").desc(), F.collate(F.col("title"), "UNICODE"),
-                      *[F.col(c) for c in order])
+    return numbered(df, [F.col("score").desc(), F.collate(F.col("title"), "UNICODE"), *[F.col(c) for c in order]],
+                    "rank")
 
 
 def article_rows(df: DataFrame) -> DataFrame:
@@ -60,14 +62,17 @@ def article_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def funnel(candidates: DataFrame, passed: DataFrame, kept: DataFrame) -> DataFrame:
-    """Candidates examined (before any gate), passing the gates, kept after de-dup.
+def funnel(examined: DataFrame) -> DataFrame:
+    """Candidates examined (before any gate), passing the gates, kept after de-dup, in one pass.
 
-    Long form (stage, n): three global counts, each a partial+final agg.
+    Input: every candidate's (passes BOOLEAN, dedupe_key); as keep-best leaves
+    one row per key, the kept are the distinct keys that pass.
     """
-    def one(df, name):
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-    return one(candidates, "examined").unionByName(one(passed, "passed")).unionByName(one(kept, "kept"))
+    key = F.when(F.col("passes"), F.col("dedupe_key"))
+    counts = examined.agg(F.count(F.lit(1)).alias("examined"), F.count_if("passes").alias("passed"),
+                          F.count_distinct(key).alias("kept"))
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("n"))
+                                            for c in ("examined", "passed", "kept")])))
 
 
 def source_counts(kept: DataFrame) -> DataFrame:
@@ -89,11 +94,13 @@ def filter_sources(df: DataFrame, selection: str, column: str = "source") -> Dat
     return df.filter(cond)
 
 
-def cap_results(df: DataFrame, rows: int = K.MAX_RESULTS_PER_SEARCH) -> DataFrame:
-    """Per-source result cap — OpenAlex min(rows, 200), others min(rows, 100).
+def cap_results(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The caller's result cap, at most OpenAlex's 200 or the others' 100; none unless given.
 
     ``item_ord`` is the 0-based position of the item inside its response.
     """
+    if rows is None:
+        return df
     cap = F.lit(min(rows, K.DEFAULT_RESULT_CAP))
     for name, c in K.SOURCE_RESULT_CAPS.items():
         cap = F.when(F.col("source") == name, F.lit(min(rows, c))).otherwise(cap)

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import text as X
+from ..shared import numbered
 
-FLAT = ["recordId", "parentRecordId", "recordType", "evidenceType", "doi", "title", "source", "score", "kind",
-        "commodity", "measure", "file", "url", "resolvedUrl", "articleUrl", "caption", "rows", "columns",
-        "text", "status"]
+FLAT = K.FLAT_RECORD_COLUMNS
 
 
 def _nest(df: DataFrame, article: str, order: str, name: str) -> DataFrame:
@@ -25,12 +25,18 @@ def _nest(df: DataFrame, article: str, order: str, name: str) -> DataFrame:
 
 
 def assemble_records(articles: DataFrame, tables: DataFrame, figures: DataFrame, links: DataFrame,
-                     article: str = "article_id") -> DataFrame:
-    """One nested record per article (extraction.tables/figures/datasetLinks in order)."""
-    t = _nest(tables, article, "table_number", "tables")
-    f = _nest(figures, article, "figure_number", "figures")
-    ln = _nest(links, article, "link_number", "dataset_links")
-    j = articles.join(t, article, "left").join(f, article, "left").join(ln, article, "left")
+                     article: str = "article_id", key: str | None = None) -> DataFrame:
+    """One nested record per article (extraction.tables/figures/datasetLinks in order).
+
+    ``key`` is the column that tells articles apart in all four tables (the
+    target's position); ``article`` is the slug, a label that different
+    articles may share, and serves as the key only where none is given.
+    """
+    key = key or article
+    t = _nest(tables, key, "table_number", "tables")
+    f = _nest(figures, key, "figure_number", "figures")
+    ln = _nest(links, key, "link_number", "dataset_links")
+    j = articles.join(t, key, "left").join(f, key, "left").join(ln, key, "left")
     empty = F.array()
     return j.select(
         *articles.columns,
@@ -101,13 +107,15 @@ def extraction_summary(records: DataFrame) -> DataFrame:
 
 
 def substantial_tables(flat: DataFrame) -> DataFrame:
-    """Table evidence, most rows first."""
-    return flat.filter(F.col("evidenceType") == "table").orderBy(F.col("rows").cast("int").desc())
+    """Table evidence, most rows first, numbered by ``rank`` (ties by record id)."""
+    return numbered(flat.filter(F.col("evidenceType") == "table"),
+                    [F.col("rows").cast("int").desc(), F.col("recordId")], "rank")
 
 
 def thin_tables(flat: DataFrame) -> DataFrame:
-    """Table evidence, fewest rows first (to spot layout tables)."""
-    return flat.filter(F.col("evidenceType") == "table").orderBy(F.col("rows").cast("int").asc())
+    """Table evidence, fewest rows first (to spot layout tables), numbered by ``rank``."""
+    return numbered(flat.filter(F.col("evidenceType") == "table"),
+                    [F.col("rows").cast("int").asc(), F.col("recordId")], "rank")
 
 
 def downloaded_links(flat: DataFrame) -> DataFrame:
@@ -130,12 +138,16 @@ def articles_with_data(flat: DataFrame) -> DataFrame:
     return flat.filter(F.col("recordType") == "article").join(has, "recordId", "left_semi")
 
 
-def shared_deposits(links: DataFrame, article: str = "article_id") -> DataFrame:
+def shared_deposits(links: DataFrame, article: str = "article_id", salts: int = 8) -> DataFrame:
     """Deposits (identities) linked from more than one article, long form (identity, article).
 
     No collect_set: a popular deposit may be linked from millions of
-    articles, so the result stays one row per (identity, article).
+    articles, so the result stays one row per (identity, article).  The counts
+    are spread over ``salts`` copies, so that such a deposit's rows meet them
+    in as many tasks.
     """
     pairs = links.select("identity", article).distinct()
     multi = pairs.groupBy("identity").agg(F.count(F.lit(1)).alias("n_articles")).filter(F.col("n_articles") > 1)
-    return pairs.join(multi, "identity")
+    spread = multi.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64(article), F.lit(salts)).cast("int"))
+    return salted.join(spread, ["identity", "_salt"]).drop("_salt")

@@ -89,7 +89,9 @@ def complete(df: DataFrame, title: str = "title", url: str = "url") -> DataFrame
 def gate(df: DataFrame, min_score: int = K.MIN_SCORE,
          require_title_commodity: bool = K.REQUIRE_TITLE_COMMODITY) -> DataFrame:
     """Score >= min_score, a commodity term, optionally one in the title."""
+    return df.filter(passes_gates(min_score, require_title_commodity))
+
+
+def passes_gates(min_score: int = K.MIN_SCORE, require_title_commodity: bool = K.REQUIRE_TITLE_COMMODITY):
     cond = (F.col("score") >= min_score) & (F.size("commodity") > 0)
-    if require_title_commodity:
-        cond = cond & F.col("commodity_in_title")
-    return df.filter(cond)
+    return cond & F.col("commodity_in_title") if require_title_commodity else cond

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.discover import funnel, keep_best, source_counts, with_dedupe_key
-from ..operators.scoring import complete, gate, score_candidates
+from ..operators.discover import funnel, source_counts, with_dedupe_key
+from ..operators.scoring import complete, gate, passes_gates, score_candidates
 from ..sources.tables import documents_as_candidates, read_table
 from . import oracles as O
 from .catalog import register
@@ -25,7 +25,9 @@ def w02_keep_best(spark, sf):
     return discover(_cands(spark, sf), CORPUS_LEXICON, ranked=False)
 
 
-@register("t01_rank", O.discover_sql(CORPUS_LEXICON, O.candidates_sql()))
+@register("t01_rank", f"""
+SELECT *, row_number() OVER (ORDER BY score DESC, title COLLATE en, item_ord) - 1 AS rank
+FROM ({O.discover_sql(CORPUS_LEXICON, O.candidates_sql())})""")
 def t01_rank(spark, sf):
     return discover(_cands(spark, sf), CORPUS_LEXICON, ranked=True)
 
@@ -70,10 +72,9 @@ SELECT 'examined' AS stage, (SELECT count(*) FROM documents) AS n
 UNION ALL SELECT 'passed', (SELECT count(*) FROM p)
 UNION ALL SELECT 'kept', (SELECT count(*) FROM k)""")
 def a01_funnel(spark, sf):
-    cands = _cands(spark, sf)
-    passed = gate(score_candidates(complete(cands), CORPUS_LEXICON))
-    kept = keep_best(with_dedupe_key(passed))
-    return funnel(cands, passed, kept)
+    scored = score_candidates(_cands(spark, sf), CORPUS_LEXICON)
+    done = (F.coalesce(F.col("title"), F.lit("")) != "") & (F.coalesce(F.col("url"), F.lit("")) != "")
+    return funnel(with_dedupe_key(scored.withColumn("passes", done & passes_gates())))
 
 
 @register("a02_source_counts", f"""

@@ -27,12 +27,13 @@ t AS (SELECT *, (CASE WHEN source IN ({', '.join(q(s) for s in K.DATA_SOURCE_NAM
    + (CASE WHEN regexp_matches(title, '(?i)(^|[^A-Za-z0-9_])data(set)?([^A-Za-z0-9_]|$)') THEN 1 ELSE 0 END) AS yield_rank
   FROM d WHERE url <> '' AND score >= 60
    AND NOT ({' OR '.join(f"strpos(url, {q(h)}) > 0" for h in K.BLOCKED_HOSTS)})
-  ORDER BY yield_rank DESC, score DESC, dedupe_key LIMIT 40)
-SELECT dedupe_key, score, yield_rank, source, title FROM t""")
+  )
+SELECT dedupe_key, score, yield_rank, source, title,
+  row_number() OVER (ORDER BY yield_rank DESC, score DESC, title COLLATE en, dedupe_key) - 1 AS position FROM t""")
 def t02_targets(spark, sf):
     from .q_normalise import discover_responses
     t = select_targets(discover_responses(spark, sf), order=["dedupe_key"])
-    return t.select("dedupe_key", "score", "yield_rank", "source", "title")
+    return t.select("dedupe_key", "score", "yield_rank", "source", "title", "position")
 
 
 # -- W04 --------------------------------------------------------------------------------
@@ -69,7 +70,9 @@ b AS (SELECT * FROM l WHERE ok QUALIFY row_number() OVER (PARTITION BY o_orderke
       ORDER BY n_tables > 0 DESC, CASE WHEN n_tables > 0 THEN cand_ord ELSE -cand_ord END) = 1)
 SELECT CAST(o.o_orderkey AS VARCHAR) AS article_id, b.cand_ord, coalesce(b.mode, '') AS mode,
        coalesce(b.final_url, '') AS final_url, b.cand_ord IS NOT NULL AS loaded,
-       (SELECT count(*) FROM l WHERE l.o_orderkey = o.o_orderkey AND NOT l.ok) AS n_errors
+       -- candidates tried before the chosen one; all of them and a last entry where none loaded
+       (SELECT count(*) FROM l WHERE l.o_orderkey = o.o_orderkey AND NOT l.ok
+          AND (b.cand_ord IS NULL OR b.n_tables = 0 OR l.cand_ord < b.cand_ord)) + (b.cand_ord IS NULL)::INT AS n_errors
 FROM orders o LEFT JOIN b ON b.o_orderkey = o.o_orderkey"""
 
 
@@ -157,7 +160,7 @@ def _file_cands(spark, sf):
 
 
 def _file_responses(spark, sf):
-    e = read_table(spark, sf, "events").filter(F.col("event_id") % 11 != 0)
+    e = read_table(spark, sf, "events")
     k, t = F.col("event_id"), F.col("event_type")
     url = F.concat(F.lit("https://files.ex.org/"), k.cast("string"),
                    F.when(k % 2 == 0, F.lit("/data.csv")).otherwise(F.lit("/get")))
@@ -165,7 +168,8 @@ def _file_responses(spark, sf):
           .when(t == "signup", F.lit("application/json")).when(t == "click", F.lit("application/zip"))
           .otherwise(F.lit("text/plain")))
     return e.select(url.alias("url"), url.alias("final_url"),
-                    F.when(t == "error", F.lit(500)).otherwise(F.lit(200)).alias("http_status"),
+                    F.when(k % 11 == 0, F.lit(None)).when(t == "error", F.lit(500)).otherwise(F.lit(200))
+                    .alias("http_status"),
                     ct.alias("content_type"),
                     F.when(t == "click", F.lit(30000000)).otherwise(1000 + k % 100).cast("long").alias("content_length"),
                     F.when(k % 4 == 0, F.concat(F.lit('attachment; filename="d'), k.cast("string"), F.lit('.xlsx"')))
@@ -193,12 +197,10 @@ w AS (SELECT *, CASE WHEN regexp_extract(sname, '^.+(\\.[^.]*)$', 1) <> '' THEN
       WHEN strpos(lower(ct), 'application/json') > 0 THEN '.json' WHEN strpos(lower(ct), 'application/zip') > 0 THEN '.zip'
       WHEN strpos(lower(ct), 'text/plain') > 0 THEN '.txt' ELSE '' END, ''), '.dat') END AS safe FROM s)
 SELECT link_id, file_index, url, record_id,
-  CASE WHEN missing THEN 'no landed response'
+  CASE WHEN missing THEN 'no HTTP status'
        WHEN http_status < 200 OR http_status > 299 THEN 'HTTP ' || http_status
-       WHEN clen > 26214400 THEN 'file is ' || clen || ' bytes, over DATASET_MAX_BYTES=26214400'
        WHEN strpos(lower(ct), 'text/html') > 0 AND lower(regexp_extract(safe, '^.+(\\.[^.]*)$', 1)) NOT IN
-            ({', '.join(q(e) for e in K.DATA_FILE_EXTENSIONS)}) THEN 'resolved to HTML, not a data file'
-       WHEN blen > 26214400 THEN 'file is ' || blen || ' bytes' END AS error,
+            ({', '.join(q(e) for e in K.DATA_FILE_EXTENSIONS)}) THEN 'resolved to HTML, not a data file' END AS error,
   safe AS name
 FROM w"""
 

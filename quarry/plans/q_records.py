@@ -13,7 +13,8 @@ from ..operators.deposits import unique_links
 from ..operators.pages import extract_figures, extract_tables, parse_pages
 from ..operators.records import (FLAT, articles_with_data, assemble_records, downloaded_links,
                                  extraction_summary, flatten_records, join_evidence, shared_deposits,
-                                 substantial_tables)
+                                 substantial_tables, thin_tables)
+from ..shared import stored
 from . import synth
 from .catalog import register
 from .q_extract import UNIQUE_LINKS_SQL, _links
@@ -27,7 +28,7 @@ def _aid():
 def _records(spark, sf):
     _AID = _aid()
     pages = synth.supplier_pages(spark, sf)
-    parsed = parse_pages(pages, keep=IDS + ["url"]).cache()
+    parsed = stored(parse_pages(pages, keep=IDS + ["url"]), "parsed")
     names = pages.select(*IDS, F.col("html").alias("_h"))
     title = F.concat(F.lit("Suppliers of "), F.regexp_extract("_h", "(?:<caption>|<p>)([^<]*?)(?: suppliers)?</", 1))
     articles = parsed.select(*IDS, "url").join(names, IDS).select(
@@ -101,9 +102,19 @@ def a03_summary(spark, sf):
     return s.select(*[F.col(c).cast("long").alias(c) for c in s.columns])
 
 
-@register("t07_substantial_tables", f"SELECT recordId, rows FROM ({FLAT_SQL}) WHERE evidenceType = 'table'")
+def _ranked_sql(direction: str) -> str:
+    return f"""SELECT recordId, rows, row_number() OVER (ORDER BY CAST(rows AS INT) {direction}, recordId) - 1 AS rank
+FROM ({FLAT_SQL}) WHERE evidenceType = 'table'"""
+
+
+@register("t08_thin_tables", _ranked_sql("ASC"))
+def t08_thin_tables(spark, sf):
+    return thin_tables(_flat(spark, sf)).select("recordId", "rows", "rank")
+
+
+@register("t07_substantial_tables", _ranked_sql("DESC"))
 def t07_substantial_tables(spark, sf):
-    return substantial_tables(_flat(spark, sf)).select("recordId", "rows")
+    return substantial_tables(_flat(spark, sf)).select("recordId", "rows", "rank")
 
 
 @register("t09_downloaded_links", f"""

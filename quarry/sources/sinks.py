@@ -44,12 +44,56 @@ def write_records_json(records: DataFrame, path: str, mode: str = "overwrite") -
     records.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_grids(tables: DataFrame, path: str, key: str = "table_id", mode: str = "overwrite") -> None:
-    """One CSV text per table (partitioned by table id); the long cell table stays the core output."""
-    tables.select(F.col(key), grid_csv(F.col("grid")).alias("value")) \
-        .write.mode(mode).partitionBy(key).text(path)
+def grid_rows(tables: DataFrame, key: str = "table_id", buckets: int = 64) -> DataFrame:
+    """(bucket, key, csv), one CSV text per table; the long cell table stays the core output."""
+    return tables.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"), F.col(key),
+                         grid_csv(F.col("grid")).alias("csv"))
 
 
-def table_index(flat_or_tables: DataFrame) -> DataFrame:
-    """Tables.csv rows (domIndex computed but not written)."""
-    return flat_or_tables.select(*[c for c in K.TABLE_INDEX_COLUMNS if c in flat_or_tables.columns])
+def write_grids(tables: DataFrame, path: str, key: str = "table_id", mode: str = "overwrite",
+                buckets: int = 64) -> None:
+    """The grids as rows of Parquet in as many folders as ``buckets``, however many tables there are."""
+    grid_rows(tables, key, buckets).write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def _index(records: DataFrame, name: str, fields: dict, columns: list[str]) -> DataFrame:
+    """A row per element of the records' evidence array ``name``, under the fixed column names."""
+    rows = records.select(F.col("doi").alias("_doi"), F.col("title").alias("_title"), F.col("source").alias("_source"),
+                          F.col("score").alias("_score"), F.col("extraction.final_url").alias("_url"),
+                          F.explode(f"extraction.{name}").alias("e"))
+    own = {"doi": "_doi", "title": "_title", "source": "_source", "score": "_score", "articleUrl": "_url"}
+    return rows.select(*[F.col(own[c] if c in own else f"e.{fields[c]}").alias(c) for c in columns])
+
+
+def table_index(records: DataFrame) -> DataFrame:
+    """Tables.csv rows of nested records."""
+    return _index(records, "tables", {"file": "file", "tableNumber": "table_number", "caption": "caption",
+                                      "rows": "rows", "columns": "columns"}, K.TABLE_INDEX_COLUMNS)
+
+
+def figure_index(records: DataFrame) -> DataFrame:
+    """Figures.csv rows."""
+    return _index(records, "figures", {"figureNumber": "figure_number", "caption": "caption", "file": "file",
+                                       "imageUrl": "image_url"}, K.FIGURE_INDEX_COLUMNS)
+
+
+def dataset_index(records: DataFrame) -> DataFrame:
+    """Datasets.csv rows; files and errors are '; '-joined already."""
+    return _index(records, "dataset_links", {"linkText": "text", "datasetUrl": "url", "resolvedUrl": "resolved_url",
+                                             "downloadedFiles": "downloaded_files", "downloadStatus": "download_status",
+                                             "downloadError": "download_error"}, K.DATASET_INDEX_COLUMNS)
+
+
+def write_records_csv(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The flat evidence table, its 20 columns in order."""
+    write_csv(flat, path, K.FLAT_RECORD_COLUMNS, mode)
+
+
+def read_articles(spark, path: str) -> DataFrame:
+    """The article index as written by ``write_articles_json`` (JSON lines) or as one JSON array.
+
+    An explicit schema: nothing is inferred, and a missing path fails at once.
+    """
+    schema = ", ".join(f"{c} {'int' if c == 'score' else 'string'}" for c in K.ARTICLE_JSON_COLUMNS)
+    lines = spark.read.schema(schema).json(path)
+    return lines.withColumnRenamed("searchUrl", "search_url")
