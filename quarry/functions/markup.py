@@ -3,8 +3,10 @@
 A small tolerant tree builder on the stdlib ``html.parser``: void elements,
 implied end tags for p/li/tr/td/th/option, raw-text script/style (handled by
 the tokenizer), stray end tags ignored, unclosed tags closed at EOF.  In
-XML mode (JATS) tag case is kept and no end tag is implied.  Only the
-selectors the extractors need are implemented, as plain tree walks.
+XML mode (JATS) CDATA is text and no end tag is implied; tag names are
+lower-cased in both.  Only the selectors the extractors need are implemented:
+what an element inherits (headings, containers, the last caption-like sibling)
+is noted when it opens, so that a page takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -19,21 +21,33 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset",
              "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
              "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
-_WS = re.compile("[\\s\\u000b\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]+")
+_CAPTION_SIBLINGS = {"p", "div", "h3", "h4", "span"}
+# ECMAScript whitespace (Python's \\s also has U+001C-1F and U+0085)
+_WS = re.compile("[\\t-\\r \\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]+")
 
 
 def norm_ws(s: str | None) -> str:
-    return _WS.sub(" ", s or "").strip()
+    return _WS.sub(" ", s or "").strip(" ")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "in_h3", "in_article", "in_search_result", "container",
+                 "last_caption", "caption_before")
 
     def __init__(self, tag, attrs, parent):
         self.tag = tag
         self.attrs = attrs
         self.children = []
-        self.parent = parent
+        self.last_caption = None
+        classes = self.classes()
+        self.in_h3 = tag == "h3" or (parent is not None and parent.in_h3)
+        self.in_article = tag == "article" or (parent is not None and parent.in_article)
+        self.in_search_result = "search-result" in classes or (parent is not None and parent.in_search_result)
+        wraps = tag == "figure" or "table" in (attrs.get("class") or "")
+        self.container = self if wraps else (parent.container if parent is not None else None)
+        self.caption_before = parent.last_caption if parent is not None else None
+        if parent is not None and tag in _CAPTION_SIBLINGS:
+            parent.last_caption = self
 
     def text(self) -> str:
         out = []
@@ -62,14 +76,6 @@ class Node:
     def classes(self):
         return (self.attrs.get("class") or "").split()
 
-    def closest(self, pred):
-        n = self
-        while n is not None and n.tag != "#root":
-            if pred(n):
-                return n
-            n = n.parent
-        return None
-
 
 class _Builder(HTMLParser):
     def __init__(self, xml: bool):
@@ -77,6 +83,16 @@ class _Builder(HTMLParser):
         self.xml = xml
         self.root = Node("#root", {}, None)
         self.stack = [self.root]
+        self.open = {}
+
+    def unknown_decl(self, data):
+        if self.xml and data.startswith("CDATA["):
+            self.handle_data(data[6:])
+
+    def _pop_to(self, i):
+        for n in self.stack[i:]:
+            self.open[n.tag] -= 1
+        del self.stack[i:]
 
     def _attrs(self, attrs):
         d = {}
@@ -86,10 +102,12 @@ class _Builder(HTMLParser):
         return d
 
     def _close_until(self, tags, stop=()):
+        if not any(self.open.get(t) for t in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             t = self.stack[i].tag
             if t in tags:
-                del self.stack[i:]
+                self._pop_to(i)
                 return
             if t in stop:
                 return
@@ -106,21 +124,24 @@ class _Builder(HTMLParser):
                 self._close_until({"tr"}, stop={"table"})
             elif tag == "option":
                 self._close_until({"option"}, stop={"select"})
+            elif tag == "a":
+                self._close_until({"a"}, stop={"table", "td", "th"})
         node = Node(tag, self._attrs(attrs), self.stack[-1])
         self.stack[-1].children.append(node)
         if self.xml or tag not in _VOID:
             self.stack.append(node)
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         node = Node(tag, self._attrs(attrs), self.stack[-1])
         self.stack[-1].children.append(node)
 
     def handle_endtag(self, tag):
-        if not self.xml and tag in _VOID:
+        if not self.open.get(tag):  # nothing open by that name
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self._pop_to(i)
                 return
 
     def handle_data(self, data):
@@ -139,14 +160,6 @@ def parse(markup: str | None, xml: bool = False) -> Node:
 
 # -- extractors --------------------------------------------------------------
 
-def _prev_siblings(n: Node):
-    sibs = n.parent.children if n.parent else []
-    idx = next((i for i, c in enumerate(sibs) if c is n), 0)
-    for c in reversed(sibs[:idx]):
-        if isinstance(c, Node):
-            yield c
-
-
 def grid_of(table: Node) -> list[list[str]]:
     """Every descendant tr (nested tables included), cells th/td; empty rows skipped."""
     grid = []
@@ -157,27 +170,23 @@ def grid_of(table: Node) -> list[list[str]]:
     return grid
 
 
-def _table_caption(table: Node, max_prev: int) -> str:
+def _table_caption(table: Node, max_prev: int | None) -> str:
     cap = table.find("caption")
     inner = norm_ws(cap.text()) if cap is not None else ""
     if inner:
         return inner
-    container = table.closest(lambda n: n.tag == "figure" or any(
-        c in ("table-wrap", "table-wrapper") for c in n.classes()) or "table" in (n.attrs.get("class") or ""))
-    if container is not None:
-        for n in container.iter():
+    if table.container is not None:
+        for n in table.container.iter():
             if n.tag == "figcaption" or any(c in ("caption", "table-caption", "title") for c in n.classes()):
                 t = norm_ws(n.text())
                 if t:
                     return t
                 break
-    for s in _prev_siblings(table):
-        if s.tag in ("p", "div", "h3", "h4", "span"):
-            return norm_ws(s.text())[:max_prev]
-    return ""
+    before = table.caption_before
+    return norm_ws(before.text())[:max_prev] if before is not None else ""
 
 
-def html_tables(root: Node, max_prev: int = 300):
+def html_tables(root: Node, max_prev: int | None = None):
     return [{"dom_index": i, "grid": grid_of(t), "caption": _table_caption(t, max_prev), "source": "html_table"}
             for i, t in enumerate(root.iter("table"))]
 
@@ -224,23 +233,20 @@ def html_figures(root: Node, base: str | None):
     return out
 
 
-def anchors(root: Node, base: str | None, with_ext_links: bool = False):
-    """``a[href]`` (and optionally ``ext-link``) in document order with context flags."""
+def anchors(root: Node, base: str | None):
+    """``a[href]`` and ``ext-link`` in document order with context flags."""
     out = []
-    want = {"a", "ext-link"} if with_ext_links else {"a"}
-    for n in root.iter(want):
+    for n in root.iter({"a", "ext-link"}):
         if n.tag == "a" and "href" not in n.attrs:
             continue
         raw = n.attrs.get("href") or n.attrs.get("xlink:href") or ""
         raw_text = n.text()
-        in_h3 = n.closest(lambda x: x.tag == "h3") is not None and \
-            n.closest(lambda x: x.tag == "article") is not None
         out.append({
             "ord": len(out), "tag": n.tag, "raw_href": raw, "raw_text": raw_text,
             "text": norm_ws(raw_text), "aria_label": n.attrs.get("aria-label") or "",
-            "title_attr": n.attrs.get("title") or "", "in_article_h3": bool(in_h3),
+            "title_attr": n.attrs.get("title") or "", "in_article_h3": n.in_h3 and n.in_article,
             "track_action": n.attrs.get("data-track-action") or "",
-            "in_search_result": n.closest(lambda x: "search-result" in x.classes()) is not None,
+            "in_search_result": n.in_search_result,
             "url": resolve_url(raw, base) if (raw or n.tag == "a") else None,
         })
     return out
@@ -249,8 +255,3 @@ def anchors(root: Node, base: str | None, with_ext_links: bool = False):
 def body_text(root: Node) -> str:
     b = root.find("body")
     return (b if b is not None else root).text()
-
-
-def count_tables(markup: str | None, xml: bool = False) -> int:
-    root = parse(markup, xml)
-    return sum(1 for _ in root.iter("table"))

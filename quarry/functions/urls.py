@@ -19,11 +19,35 @@ _DEFAULT_PORTS = {"http": 80, "https": 443, "ws": 80, "wss": 443, "ftp": 21}
 _SPECIAL = set(_DEFAULT_PORTS) | {"file"}
 
 
+def _without_dots(path: str) -> str:
+    """Dot segments of an absolute path resolved; an encoded dot is one too."""
+    out: list[str] = []
+    segments = path.split("/")[1:]
+    for i, s in enumerate(segments):
+        plain = s.lower().replace("%2e", ".")
+        if plain in (".", ".."):
+            if plain == ".." and out:
+                out.pop()
+            if i == len(segments) - 1:
+                out.append("")
+        else:
+            out.append(s)
+    return "/" + "/".join(out)
+
+
+def _ascii_host(host: str) -> str:
+    """Lower-cased; a name beyond ASCII in its IDNA form (raises ValueError if it has none)."""
+    return host.lower() if host.isascii() else host.lower().encode("idna").decode("ascii")
+
+
 def resolve_url(href: str | None, base: str | None) -> str | None:
     if href is None:
         return None
     h = re.sub(r"[\t\n\r]", "", href).strip(" \f\x00")
     try:
+        if re.match(r"(?i)(https?|wss?|ftp):", h) or (base and not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", h)):
+            head, mark, tail = re.match(r"([^?#]*)([?#]?)(.*)", h, re.S).groups()
+            h = head.replace("\\", "/") + mark + tail
         joined = urljoin(base or "", h) if base else h
         p = urlsplit(joined)
         scheme = p.scheme.lower()
@@ -33,7 +57,7 @@ def resolve_url(href: str | None, base: str | None) -> str | None:
             return None
         if scheme not in _SPECIAL:
             return joined
-        host = (p.hostname or "").lower()
+        host = _ascii_host(p.hostname or "")
         port = p.port
     except ValueError:
         return None
@@ -41,7 +65,7 @@ def resolve_url(href: str | None, base: str | None) -> str | None:
     if p.username is not None:
         auth = p.username + (f":{p.password}" if p.password else "") + "@"
     netloc = auth + host + (f":{port}" if port is not None and port != _DEFAULT_PORTS.get(scheme) else "")
-    path = quote(p.path.replace("\\", "/"), safe=_PATH_SAFE) or "/"
+    path = quote(_without_dots(p.path), safe=_PATH_SAFE) if p.path else "/"
     out = f"{scheme}://{netloc}{path}"
     if p.query or joined.rstrip("#").endswith("?") or "?" in joined.split("#", 1)[0]:
         out += "?" + quote(p.query, safe=_QUERY_SAFE)

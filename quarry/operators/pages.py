@@ -64,7 +64,7 @@ def _arrow_type(dt):
 
 def parse_pages(df: DataFrame, body: str = "html", base: str | None = "url", xml: bool | str = False,
                 keep: list[str] | None = None, pmcid: str | None = None,
-                max_prev_caption: int = K.CAPTION_PREVIOUS_MAX_CHARS) -> DataFrame:
+                max_prev_caption: int | None = None) -> DataFrame:
     """Parse every page once: ``keep`` columns + ``parsed`` (PARSED_T).
 
     ``xml`` may be a bool or the name of a boolean column (JATS vs HTML per
@@ -103,7 +103,7 @@ def parse_pages(df: DataFrame, body: str = "html", base: str | None = "url", xml
                     "blocked": any(m in text for m in KC.BLOCK_TEXT_MARKERS),
                     "tables": tables,
                     "figures": figures,
-                    "anchors": M.anchors(root, url, with_ext_links=bool(is_xml)),
+                    "anchors": M.anchors(root, url),
                 })
             cols = [b.column(i) for i in range(n_keep)] + [pa.array(rows, type=parsed_arrow)]
             yield pa.RecordBatch.from_arrays(cols, names=keep + ["parsed"])
@@ -131,7 +131,7 @@ def first_by(arr: Column, key: str, ord_field: str = "ord") -> Column:
 
 def extract_anchors(parsed: DataFrame, ids: list[str]) -> DataFrame:
     """One row per ``a[href]`` in document order."""
-    return parsed.select(*ids, F.inline(F.col("parsed.anchors")))
+    return parsed.select(*ids, F.inline(F.filter("parsed.anchors", lambda a: a["tag"] == "a")))
 
 
 _SEL_ATTR = re.compile(r"^a\[(href|data-track-action)(\*?=)'([^']*)'\]$")
@@ -153,18 +153,28 @@ def _selector_pred(sel: str):
     raise ValueError(f"unsupported selector: {sel}")
 
 
-def parse_search_results(parsed: DataFrame, ids: list[str], selectors: list[str],
-                         preferred: list[str]) -> DataFrame:
+def _picked(selectors: list[str], preferred: list[str]) -> Column:
+    """A page's anchors by selector order, then the preferred ones; an anchor may be picked more than once."""
+    href_a = F.filter(F.col("parsed.anchors"), lambda x: x["tag"] == "a")
+    groups = [F.filter(href_a, _selector_pred(s)) for s in selectors]
+    groups.append(F.filter(href_a, lambda x: X.any_of([x["raw_href"].contains(p) for p in preferred])))
+    return F.flatten(F.array(*groups))
+
+
+def parse_search_results(parsed: DataFrame, ids: list[str], selectors: list[str] | None = None,
+                         preferred: list[str] | None = None, by_source: dict | None = None) -> DataFrame:
     """Result anchors by selector order, then fallback anchors; no de-dup; blocked pages dropped.
 
-    title = raw text (if non-empty) else aria-label else title attribute,
+    ``by_source`` gives selectors and preferred patterns per value of ``source``
+    instead.  title = raw text (if non-empty) else aria-label else title attribute,
     whitespace-normalised; anchors whose href cannot be resolved are dropped.
     """
-    a = F.col("parsed.anchors")
-    href_a = F.filter(a, lambda x: x["tag"] == "a")
-    groups = [F.filter(href_a, _selector_pred(s)) for s in selectors]
-    groups.append(F.filter(href_a, lambda x: X.any_of([x["raw_href"].contains(p) for p in preferred])))
-    picked = F.flatten(F.array(*groups)) if groups else F.array()
+    if by_source is None:
+        picked = _picked(selectors or [], preferred or [])
+    else:
+        picked = F.filter("parsed.anchors", lambda x: F.lit(False))
+        for name, rule in by_source.items():
+            picked = F.when(F.col("source") == name, _picked(rule["selectors"], rule["preferred"])).otherwise(picked)
     rows = parsed.filter(~F.col("parsed.blocked")).select(*ids, F.posexplode(picked).alias("item_ord", "a"))
     title = F.coalesce(F.nullif(F.col("a.raw_text"), F.lit("")), F.nullif(F.col("a.aria_label"), F.lit("")),
                        F.col("a.title_attr"))

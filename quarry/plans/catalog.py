@@ -20,4 +20,5 @@ def register(name, oracle=None):
 
 
 def load_all():
-    from . import q_discover, q_extract, q_normalise, q_pages, q_records, q_scalars, q_search  # noqa: F401
+    from . import (q_articles, q_discover, q_extract, q_normalise, q_pages, q_records, q_scalars,  # noqa: F401
+                   q_search)

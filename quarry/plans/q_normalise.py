@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import constants as K
-from ..sources.normalise import (CANDIDATE_COLUMNS, normalise_crossref, normalise_datacite,
+from ..sources.normalise import (CANDIDATE_COLUMNS, html_candidates, normalise_crossref, normalise_datacite,
                                  normalise_openalex, normalise_responses, normalise_zenodo)
 from . import oracles as O
 from . import synth
@@ -70,9 +70,27 @@ SELECT 'Zenodo' AS source, CAST(floor(s_suppkey / 50) AS INTEGER) AS keyword_ord
   'https://zenodo.org/api/records?q=' || CAST(floor(s_suppkey / 50) AS INTEGER) AS search_url
 FROM supplier"""
 
+# Scientific Data: each anchor is picked by its heading, by its path and by the preferred path;
+# IEEE DataPort: by its path, by its box and by the preferred path.
+N06_SQL = """
+WITH c AS (SELECT *, CAST(floor(c_custkey / 50) AS INTEGER) AS r,
+             row_number() OVER (PARTITION BY floor(c_custkey / 50) ORDER BY c_custkey) - 1 AS pos,
+             count(*) OVER (PARTITION BY floor(c_custkey / 50)) AS n FROM customer)
+SELECT CASE WHEN r % 2 = 0 THEN 'Scientific Data' ELSE 'IEEE DataPort' END AS source, r AS keyword_ord,
+  grp * n + pos AS item_ord, CASE WHEN r % 2 = 0 THEN c_name || ' & data' ELSE c_name END AS title,
+  '' AS abstract, '' AS journal, '' AS doi, '' AS published,
+  'https://results.example.org/' || CASE WHEN r % 2 = 0 THEN 'articles/s' ELSE 'documents/d' END || c_custkey AS url,
+  '' AS kind, 'https://results.example.org/search/list?q=' || r AS search_url
+FROM c, (SELECT unnest([0, 1, 2]) AS grp)"""
+
 _COLS = ", ".join(OUT)
 
 
+@register("n06_html_candidates", f"SELECT {_COLS} FROM ({N06_SQL})")
+def n06_html_candidates(spark, sf):
+    return html_candidates(synth.html_responses(spark, sf)).select(*OUT)
+
+
 @register("n01_openalex", f"SELECT {_COLS} FROM ({N01_SQL})")
 def n01_openalex(spark, sf):
     return normalise_openalex(synth.openalex_responses(spark, sf)).select(*OUT)
@@ -81,7 +99,7 @@ def n01_openalex(spark, sf):
 @register("n02_crossref", f"SELECT {_COLS} FROM ({N02_SQL})")
 def n02_crossref(spark, sf):
     r = synth.crossref_responses(spark, sf)
-    return normalise_crossref(r, "Crossref").unionByName(normalise_crossref(r, "Crossref Data Journals")).select(*OUT)
+    return normalise_responses(r, ["Crossref", "Crossref Data Journals"]).select(*OUT)
 
 
 @register("n04_datacite", f"SELECT {_COLS} FROM ({N04_SQL})")
@@ -97,7 +115,7 @@ def n05_zenodo(spark, sf):
 UNION_SQL = f"""
 SELECT keyword_ord, '' AS keyword, 0 AS variant_ord, '' AS variant, {_SRC_ORD} AS source_ord, source,
        item_ord, title, abstract, journal, doi, published, url, kind, search_url
-FROM ({N01_SQL} UNION ALL {N02_SQL} UNION ALL {N04_SQL} UNION ALL {N05_SQL})"""
+FROM ({N01_SQL} UNION ALL {N02_SQL} UNION ALL {N04_SQL} UNION ALL {N05_SQL} UNION ALL SELECT * FROM ({N06_SQL}))"""
 
 
 @register("u01_union_sources", f"SELECT {', '.join(CANDIDATE_COLUMNS)} FROM ({UNION_SQL})")

@@ -51,7 +51,7 @@ def _records(spark, sf):
         F.when(even, F.lit("downloaded")).otherwise(F.lit("no_public_file_found")).alias("download_status"),
         F.when(even, F.lit(1)).otherwise(F.lit(0)).alias("n_files"), F.lit(0).alias("n_errors"),
         F.when(even, F.concat(F.lit("data/dataset-files/"), _AID, F.lit("-f1-x.csv"))).otherwise(F.lit(""))
-        .alias("downloaded_files"))
+        .alias("downloaded_files"), F.lit("").alias("download_error"))
     return assemble_records(articles, tables, figures, links)
 
 

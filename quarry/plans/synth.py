@@ -141,10 +141,26 @@ def zenodo_responses(spark, sf) -> DataFrame:
                       '{"hits":{"hits":[', "]}}", "https://zenodo.org/api/records?q=")
 
 
+def html_responses(spark, sf) -> DataFrame:
+    """Result pages of the two HTML sources, 50 customers each: headings of articles, or result boxes with
+    relative links that climb a folder; a link to elsewhere on every page."""
+    c = read_table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    key, name = k.cast("string"), F.col("c_name")
+    source = F.when(F.floor(k / ITEMS_PER_RESPONSE) % 2 == 0, F.lit("Scientific Data")).otherwise(F.lit("IEEE DataPort"))
+    item = F.when(source == "Scientific Data", F.concat(
+        F.lit('<article><h3><a href="/articles/s'), key, F.lit('"> '), name, F.lit(" &amp;  data</a></h3></article>"))) \
+        .otherwise(F.concat(F.lit('<div class="search-result"><a href="../documents/d'), key, F.lit('">'), name,
+                            F.lit("</a></div>")))
+    pre = '<html><body><a href="/about">About</a>'
+    return _responses(c.select("c_custkey", item.alias("item"), source.alias("src")), "c_custkey", F.col("src"),
+                      pre, "</body></html>", "https://results.example.org/search/list?q=")
+
+
 def search_responses(spark, sf) -> DataFrame:
-    """All four synthesised response sets as one ``search_responses`` table."""
+    """The synthesised response sets of all seven sources as one ``search_responses`` table."""
     out = openalex_responses(spark, sf)
-    for f in (crossref_responses, datacite_responses, zenodo_responses):
+    for f in (crossref_responses, datacite_responses, zenodo_responses, html_responses):
         out = out.unionByName(f(spark, sf))
     return out
 

@@ -83,7 +83,7 @@ def test_choose_copy(spark):
             ("d", 0, "static", "u0", 0, None), ("d", 1, "browser", "u1", 0, "boom")]   # 1 failed: last loaded
     df = spark.createDataFrame(rows, "article_id string, cand_ord int, mode string, final_url string, "
                                      "n_tables int, error string")
-    got = {r.article_id: (r.cand_ord, r.errors) for r in choose_copy(df).collect()}
+    got = {r.article_id: (r.cand_ord, [e.message for e in r.errors]) for r in choose_copy(df).collect()}
     assert got == {"a": (1, []), "b": (1, []), "c": (0, []), "d": (0, ["boom"])}
 
 
