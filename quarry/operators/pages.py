@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import text as X
-from ..session import small_batches
+from ..session import ship_package, small_batches
 
 TABLE_T = T.StructType([
     T.StructField("dom_index", T.IntegerType()),
@@ -73,6 +73,7 @@ def parse_pages(df: DataFrame, body: str = "html", base: str | None = "url", xml
     """
     keep = list(keep if keep is not None else [c for c in df.columns if c != body])
     small_batches(df.sparkSession)
+    ship_package(df.sparkSession)
     xml_col = xml if isinstance(xml, str) else None
     src = df.select(*keep, F.col(body).alias("_body"),
                     (F.col(base) if base else F.lit(None).cast("string")).alias("_base"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +38,20 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound the Arrow batches handed to Python, unless the session's owner chose a size."""
     if spark.conf.get(_BATCH) == "10000":
         spark.conf.set(_BATCH, str(rows))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the Python workers, so that jobs run from any folder; once a context."""
+    context = spark.sparkContext
+    name = f"quarry-{context.applicationId}.zip"
+    if any(str(p).endswith(name) for p in getattr(context, "_python_includes", ())):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-ship-"), name)
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
