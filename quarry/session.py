@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 
 from pyspark.sql import SparkSession
 
+from .shared import shared_dir
+
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -41,17 +43,24 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Hand the package to the Python workers, so that jobs run from any folder; once a context."""
+    """Hand the package to the Python workers, so that jobs run from any folder; once a context.
+
+    The archive is written to the shared folder through Spark's own file system.
+    """
     context = spark.sparkContext
     name = f"quarry-{context.applicationId}.zip"
-    if any(str(p).endswith(name) for p in getattr(context, "_python_includes", ())):
+    if name in context._python_includes:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="quarry-ship-"), name)
-    with zipfile.ZipFile(path, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for folder, _, files in os.walk(root):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    context.addPyFile(path)
+    at = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = at.getFileSystem(context._jsc.hadoopConfiguration()).create(at, True)
+    out.write(held.getvalue())
+    out.close()
+    context.addPyFile(at.toString())
