@@ -1,48 +1,24 @@
-"""Shared helpers: tables in the cluster's shared folder, Arrow batch iteration, ASCII folding."""
+"""Helpers of the operators: Arrow batches in and out, white space."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-
-#: The bytes that the contracts call white space, as str.strip() characters.
-ASCII_SPACE = " \t\n\x0b\x0c\r"
-
+from pyspark.sql import SparkSession
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+from quarry.session import ship_package
+from quarry.session import small_batches as _small_batches
+from quarry.shared import stored
 
-    Only where that is unset (tests, local mode) a temporary folder is made and set.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        at = tempfile.mkdtemp(prefix="quarry-shared-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+__all__ = ["ASCII_SPACE", "chunks", "rows_of", "small_batches", "stored", "to_batch"]
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    The written table cuts the lineage and outlives lost executors.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quarry/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: The bytes that the contracts call white space, as str.strip() characters.
+ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the Arrow batches handed to Python, unless the session's owner chose a size.
-
-    Documents may be long, so Spark's 10,000 rows a batch could take gigabytes.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(rows))
+    """Bound the Arrow batches handed to Python, unless the session's owner chose a size; ship the package."""
+    _small_batches(spark, rows)
+    ship_package(spark)
 
 
 def rows_of(batches, *names):

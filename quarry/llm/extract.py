@@ -7,7 +7,8 @@ most probable choice in which nothing below a dropped element is kept.
 The trees are learnt from at most ``MOST_PAGES`` pages, those with the least hashes, that mark their
 article (``article`` or ``main``): the mark is the label. As real pages mark it in many ways or not at
 all, each also serves with its mark renamed or removed, and with menus, notices, sidebars, forms,
-adverts and reader comments added around and inside the article.
+adverts and reader comments added around and inside the article, and with some of its paragraphs as
+lists, quotes, headings, tables or plain boxes.
 
 Defined cases: a null or empty page has no text; markup that is broken off or not closed is read as
 far as it goes; a null ``page_id`` or ``url`` stays null; repeated rows are extracted each; an empty
@@ -46,6 +47,26 @@ def _boilerplate(rng: random.Random, words: list[str]) -> str:
     return f"<{tag}{named}>{''.join(item() for _ in range(rng.choice([1, 1, 3, 6])))}</{tag}>"
 
 
+def _dressed(rng: random.Random, inside: str) -> str:
+    """An article whose paragraphs are partly lists, quotes, headings, tables and plain boxes."""
+
+    def other(found: re.Match) -> str:
+        text = found[1]
+        if rng.random() < 0.6:
+            return found[0]
+        words = text.split()
+        half = len(words) // 2
+        a, b = " ".join(words[:half]), " ".join(words[half:])
+        return rng.choice([
+            f"<ul><li>{a}</li><li>{b}</li></ul>", f"<ol><li>{a}</li><li>{b}</li></ol>", f"<blockquote><p>{text}</p></blockquote>",
+            f"<h2>{' '.join(words[:6])}</h2><p>{' '.join(words[6:])}</p>", f"<div>{text}</div>", f"<section><h3>{' '.join(words[:4])}</h3><p>{' '.join(words[4:])}</p></section>",
+            f"<table><tr><th>{a}</th><td>{b}</td></tr></table>", f"<pre>{text}</pre>", f"<figure><img src='x'><figcaption>{text}</figcaption></figure>",
+            f"<dl><dt>{a}</dt><dd>{b}</dd></dl>", text,
+        ])
+
+    return re.sub(r"<p>([^<]*)</p>", other, inside)
+
+
 def training_pages(html: str, rng: random.Random) -> list[str]:
     """The page with its article labelled, and changed copies of it."""
     found = _MARKED.search(html)
@@ -59,7 +80,7 @@ def training_pages(html: str, rng: random.Random) -> list[str]:
         token = rng.choice(sorted(GROUPS["main"])) if rng.random() < 0.7 else ""
         junk = lambda n: "".join(_boilerplate(rng, words) for _ in range(rng.randrange(n)))
         first, last = (before, after) if rng.random() < 0.5 else ("<html><body>", "</body></html>")
-        body = f'<{name} class="{_LABEL} {token}">{inside}{junk(2)}</{name}>'
+        body = f'<{name} class="{_LABEL} {token}">{_dressed(rng, inside)}{junk(2)}</{name}>'
         wrap = rng.choice(["{}", "<div>{}</div>", "<div class='wrap'><div>{}</div></div>"])
         out.append(f"{first}{junk(4)}{wrap.format(junk(2) + body + junk(3))}{junk(3)}{last}")
     return out
