@@ -3,13 +3,14 @@
 1. One pass makes each document's set of word shingles (64-bit hashes), a MinHash signature of it and
    a 128-bit fingerprint. Documents of one fingerprint form a class; one signature stands for it.
 2. Signatures are cut into bands; classes that agree on a band share a bucket. Buckets with the same
-   members count once, and large ones are split into tiles, so that a task sees two tiles at most.
-3. Inside a tile pair, signatures are compared batch by batch; a pair is pruned as soon as its
-   posterior chance of reaching the threshold falls under ``miss``. Only the members of surviving
-   pairs are passed on, not the pairs.
-4. For those, the full sets are made from the texts and compared exactly; a task returns a spanning
-   forest of the links it found, never all pairs of a group.
-5. Connected components of the forests.
+   members count once.
+3. Signatures are compared batch by batch; a pair is pruned as soon as its posterior chance of reaching
+   the threshold falls under ``miss``. Only the members of surviving pairs are passed on, not the pairs.
+   For those, the full sets are made from the texts and compared exactly; a task sees two tiles of a
+   bucket at most and returns a spanning forest of the links it found, never all pairs of a group.
+4. Step 3 runs twice: first each class meets the least class of its buckets, which joins most groups of
+   copies; then, in buckets that hold several components, members of different ones meet.
+5. Connected components of all links.
 
 Defined cases: a null text or one without words has an empty set and stands alone; a text of fewer
 words than a shingle has one shingle; a null ``doc_id`` stands alone with a null component and is
@@ -153,15 +154,16 @@ def _tile_pair(held) -> tuple[list, ...]:
     return tuple([x for part in held for x in part[k]] for k in range(len(held[0])))
 
 
-def surviving(sig: np.ndarray, band: int, rows: int, bounds: list[tuple[int, int]], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def surviving(sig: np.ndarray, comp: np.ndarray, band: int, rows: int, bounds: list[tuple[int, int]], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Members with a pair, one of ``left`` and one of ``right``, that no batch prunes.
 
-    A pair is looked at in the first band on which it agrees only.
+    Pairs of one component are not looked at, and others in the first band on which they agree only.
     """
     alive = np.zeros(len(sig), dtype=bool)
     same = left is right
     for i, x in enumerate(left):
         others = right[i + 1 :] if same else right
+        others = others[comp[others] != comp[x]]
         if not len(others):
             continue
         matches = np.zeros(len(others), dtype=np.int32)
@@ -180,13 +182,13 @@ def surviving(sig: np.ndarray, band: int, rows: int, bounds: list[tuple[int, int
     return alive
 
 
-def forest(ids: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int):
-    """Links (a, b) between ``left`` and ``right`` that connect what such links connect."""
+def forest(ids: list[int], comp: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int):
+    """Links (a, b) between ``left`` and ``right`` that join the components which such links join."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     values = np.concatenate(sets)
     _, code = np.unique(values, return_inverse=True)
     starts = np.cumsum(sizes) - sizes
-    group = np.arange(len(ids))
+    group = np.array(comp)
     mark = np.zeros(int(code.max()) + 1, dtype=bool)
     same = left is right
     for i, x in enumerate(left):
@@ -207,55 +209,74 @@ def forest(ids: list[int], sets: list[np.ndarray], left: np.ndarray, right: np.n
                 yield ids[x], ids[y]
 
 
-def tiled(members: DataFrame, tile: int) -> DataFrame:
-    """(key, ti, tj, side, ...) for each pair of tiles of a bucket; a member's tile follows its hash."""
-    split = members.withColumn("tiles", F.expr(f"cast(ceil(members / {tile}) as int)")).withColumn("own", F.expr("cast(pmod(xxhash64(cls, 7), tiles) as int)"))
-    other = split.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
-    return other.select("key", "band", F.least("own", "other").alias("ti"), F.greatest("own", "other").alias("tj"), (F.col("own") > F.col("other")).cast("int").alias("side"), "cls")
-
-
-def _sides(ti, tj, side):
+def _sides(la, lb, side):
     every, side = np.arange(len(side)), np.array(side)
-    if ti == tj:
+    if la == lb:
         return every, every
     return every[side == 0], every[side == 1]
 
 
-def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, miss: float, tile: int) -> DataFrame:
-    """Forests of links (a, b) between classes."""
-    threshold = percent / 100
-    rows = band_rows(threshold, miss)
-    bounds = least_matches(threshold, miss)
-    keys = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 2 * b * rows + 1, 2 * rows)).alias("key")) for b in range(HASHES // rows)))
-    posted = reps.select("cls", F.inline(keys))
-    shared = posted.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
-    posted = stored(posted.join(shared, "key"), "posted")
-    full = posted.groupBy("key").agg(F.count("*").alias("members"), F.min("band").alias("band"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("mark"))
-    once = full.groupBy("members", "low", "high", "mark").agg(F.min(F.struct("band", "key")).alias("first")).select("members", "first.band", "first.key")
-    members = stored(posted.select("key", "cls").join(once, "key"), "buckets")
-    sigs = reps.select("cls", "sig")
+def star_tiles(members: DataFrame, tile: int) -> DataFrame:
+    """Each class against the least class of all its buckets: the leader meets its followers, a tile at a time."""
+    heads = members.groupBy("key").agg(F.min("cls").alias("head"))
+    first = members.select("key", "cls").join(heads, "key").groupBy("cls").agg(F.min("head").alias("head")).filter("cls <> head")
+    sizes = first.groupBy("head").agg(F.expr(f"cast(ceil(count(*) / {tile}) as int)").alias("tiles"))
+    follow = first.join(sizes, "head").select(F.col("head").alias("key"), F.expr("pmod(xxhash64(cls, 7), tiles)").alias("la"), F.lit(1).alias("side"), "cls")
+    lead = sizes.select(F.col("head").alias("key"), F.explode(F.expr("sequence(0L, cast(tiles - 1 as bigint))")).alias("la"), F.lit(0).alias("side"), F.col("head").alias("cls"))
+    both = lead.unionByName(follow)
+    return both.select("key", F.lit(0).alias("band"), "la", F.lit(-1).cast("long").alias("lb"), "side", "cls", F.col("cls").alias("comp"))
+
+
+def bucket_tiles(members: DataFrame, tile: int) -> DataFrame:
+    """Pairs of tiles of the buckets that hold several components.
+
+    A component with half a tile of members or more in a bucket has tiles of its own, which never meet
+    each other: a large group of copies costs as much as the rest of its buckets is large.
+    """
+    comps = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    per = comps.groupBy("key").agg(F.count("*").alias("comps"), F.expr(f"sum(if(n < {tile // 2}, n, 0))").alias("mixed")).filter("comps > 1")
+    own = comps.join(per, "key").withColumn("pure", F.expr(f"n >= {tile // 2}")).withColumn("tiles", F.expr(f"cast(ceil(if(pure, n, mixed) / {tile}) as int)"))
+    placed = members.join(own.select("key", "comp", "pure", "tiles"), ["key", "comp"])
+    label = F.expr("xxhash64(if(pure, comp, 0L), pure, pmod(xxhash64(cls, 7), tiles))")
+    placed = stored(placed.select("key", "band", "cls", "comp", F.expr("if(pure, comp, null)").alias("pure"), label.alias("label")), "tiles")
+    labels = placed.select("key", "label", "pure").distinct()
+    other = labels.select("key", F.col("label").alias("lb"), F.col("pure").alias("pure_b"))
+    pairs = labels.join(other, "key").filter("label <= lb and not (pure is not null and pure <=> pure_b)")
+    sides = pairs.select("key", F.col("label").alias("la"), "lb", F.inline(F.expr("if(label = lb, array(named_struct('label', label, 'side', 0)), array(named_struct('label', label, 'side', 0), named_struct('label', lb, 'side', 1)))")))
+    sides = sides.select("key", "la", "lb", F.col("label").alias("at"), "side")
+    joined = sides.join(placed.withColumnRenamed("label", "at"), ["key", "at"])
+    return joined.select("key", "band", "la", "lb", "side", "cls", "comp")
+
+
+_TILED = "key long, la long, lb long, side int, cls long, comp long"
+_TILED_ARROW = pa.schema([("key", pa.int64()), ("la", pa.int64()), ("lb", pa.int64()), ("side", pa.int32()), ("cls", pa.int64()), ("comp", pa.int64())])
+
+
+def verified(tiles: DataFrame, docs: DataFrame, sigs: DataFrame, shingle: int, percent: int, miss: float) -> DataFrame:
+    """Forests of links (a, b) between classes of different components, tile pair by tile pair."""
+    rows, bounds = band_rows(percent / 100, miss), least_matches(percent / 100, miss)
+    order = ["key", "la", "lb"]
 
     def prune(batches):
         def out():
-            for (key, _, ti, tj), held in _groups(batches, ("key", "band", "ti", "tj"), ("band", "side", "cls", "sig")):
-                band, side, cls, sig = _tile_pair(held)
+            for (key, la, lb), held in _groups(batches, ("key", "la", "lb"), ("band", "side", "cls", "comp", "sig")):
+                band, side, cls, comp, sig = _tile_pair(held)
                 table = np.frombuffer(b"".join(sig), dtype="<u2").reshape(len(sig), HASHES)
-                for k in np.flatnonzero(surviving(table, band[0], rows, bounds, *_sides(ti, tj, side))):
-                    yield int(key), int(ti), int(tj), side[k], cls[k]
+                for k in np.flatnonzero(surviving(table, np.array(comp), band[0], rows, bounds, *_sides(la, lb, side))):
+                    yield int(key), int(la), int(lb), side[k], cls[k], comp[k]
 
-        yield from chunks(out(), pa.schema([("key", pa.int64()), ("ti", pa.int32()), ("tj", pa.int32()), ("side", pa.int32()), ("cls", pa.int64())]))
+        yield from chunks(out(), _TILED_ARROW)
 
-    order = ["key", "band", "ti", "tj"]
-    pairs = tiled(members, tile).join(sigs, "cls").repartition(*order).sortWithinPartitions(*order)
-    survivors = stored(pairs.mapInArrow(prune, "key long, ti int, tj int, side int, cls long"), "survivors")
+    dealt = tiles.join(sigs, "cls").repartition(*order).sortWithinPartitions(*order)
+    survivors = stored(dealt.mapInArrow(prune, _TILED), "survivors")
 
     def exact(batches):
         known = WordHashes()
 
         def out():
-            for (_, ti, tj), held in _groups(batches, ("key", "ti", "tj"), ("side", "cls", "text")):
-                side, cls, text = _tile_pair(held)
-                yield from forest(cls, [shingles(t, shingle, known) for t in text], *_sides(ti, tj, side), percent)
+            for (_, la, lb), held in _groups(batches, ("key", "la", "lb"), ("side", "cls", "comp", "text")):
+                side, cls, comp, text = _tile_pair(held)
+                yield from forest(cls, comp, [shingles(t, shingle, known) for t in text], *_sides(la, lb, side), percent)
 
         yield from chunks(out(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
@@ -264,9 +285,26 @@ def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, miss: fl
     remainder = lambda c: F.expr(f"pmod(xxhash64({c}), {FILTER})")
     maybe = F.broadcast(wanted.select(remainder("cls").alias("remainder")).distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("cls"), "text").withColumn("remainder", remainder("cls")).join(maybe, "remainder", "left_semi").select("cls", "text")
-    order = ["key", "ti", "tj"]
     sets = survivors.join(texts, "cls").repartition(*order).sortWithinPartitions(*order)
-    return sets.mapInArrow(exact, "a long, b long")
+    return stored(sets.mapInArrow(exact, "a long, b long"), "links")
+
+
+def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, miss: float, tile: int) -> DataFrame:
+    """Links (a, b) between classes whose components are those of all links among candidates."""
+    rows = band_rows(percent / 100, miss)
+    keys = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 2 * b * rows + 1, 2 * rows)).alias("key")) for b in range(HASHES // rows)))
+    posted = reps.select("cls", F.inline(keys))
+    shared = posted.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
+    posted = stored(posted.join(shared, "key"), "posted")
+    full = posted.groupBy("key").agg(F.count("*").alias("members"), F.min("band").alias("band"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("mark"))
+    once = full.groupBy("members", "low", "high", "mark").agg(F.min(F.struct("band", "key")).alias("first")).select("first.band", "first.key")
+    members = stored(posted.select("key", "cls").join(once, "key"), "buckets")
+    sigs = reps.select("cls", "sig")
+    first = verified(star_tiles(members, tile), docs, sigs, shingle, percent, miss)
+    found = components(first)
+    labelled = members.join(found, F.col("cls") == F.col("node"), "left").select("key", "band", "cls", F.coalesce("component", "cls").alias("comp"))
+    rest = verified(bucket_tiles(labelled, tile), docs, sigs, shingle, percent, miss)
+    return first.unionByName(rest)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = 1e-7, tile: int = 512) -> DataFrame:
