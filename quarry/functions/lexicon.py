@@ -111,16 +111,19 @@ def term_hits(text, terms, whole: bool = True) -> Column:
         return F.array().cast("array<string>")
     found = F.regexp_extract_all(_s(text), F.lit(
         "(?i)" + _NO_WORD_BEFORE + "(?=(" + _tree_pattern(terms) + ")" + (_NO_WORD_AFTER if whole else "") + ")"), 1)
-    canonical = F.array_distinct(F.transform(found, lambda t: F.regexp_replace(ascii_lower(t), JSWS + "+", " ")))
+    canonical = F.array_distinct(F.transform(F.array_distinct(found), lambda t: F.regexp_replace(
+        ascii_lower(t), JSWS + "+", " ")))
     shorter = {t: [x for x in terms if x != t and _begins(x, t, whole)] for t in terms}
-    shorter = {t: xs for t, xs in shorter.items() if xs}
-    if not shorter:
-        return canonical
     pairs = [F.struct(F.lit(t).alias("key"), F.array(*[F.lit(x) for x in xs]).alias("value"))
-             for t, xs in shorter.items()]
-    extra = F.flatten(F.transform(canonical, lambda t: F.flatten(F.transform(
-        F.filter(F.array(*pairs), lambda p: p["key"] == t), lambda p: p["value"]))))
-    return F.when(F.size(canonical) > 0, F.concat(canonical, extra)).otherwise(canonical)
+             for t, xs in shorter.items() if xs]
+    if not pairs:
+        return canonical
+
+    def with_shorter(hits):
+        extra = F.transform(F.filter(F.array(*pairs), lambda p: F.array_contains(hits, p["key"])), lambda p: p["value"])
+        return F.when(F.size(hits) > 0, F.concat(hits, F.flatten(extra))).otherwise(hits)
+
+    return F.transform(F.array(canonical), with_shorter)[0]  # bound once: the scan isn't repeated
 
 
 def match_terms(hits: Column, terms) -> Column:

@@ -14,7 +14,7 @@ from .fixtures import CORPUS_LEXICON
 
 
 def _cands(spark, sf):
-    return documents_as_candidates(read_table(spark, sf, "documents"))
+    return documents_as_candidates(read_table(spark, sf, "documents", rebalance=True))
 
 
 # -- discover slice -----------------------------------------------------------

@@ -45,7 +45,7 @@ FROM (SELECT page_id, url, hrefs, texts, generate_subscripts(hrefs, 1) AS i
 
 
 def _parsed_pages(spark, sf):
-    return parse_pages(read_table(spark, sf, "pages"), keep=["page_id", "url"])
+    return parse_pages(read_table(spark, sf, "pages", rebalance=True), keep=["page_id", "url"])
 
 
 @register("x01_anchors", f"SELECT page_id, ord, raw_href, text, url FROM ({ANCHORS_SQL})")

@@ -52,7 +52,7 @@ def _responses(items: DataFrame, key: str, source: Column, wrap_pre: str, wrap_p
 
 
 def openalex_responses(spark, sf) -> DataFrame:
-    d = read_table(spark, sf, "documents")
+    d = read_table(spark, sf, "documents", rebalance=True)
     k = F.col("doc_id")
     text = F.coalesce(F.col("text"), F.lit(""))
     first = F.substring_index(text, "\n", 1)

@@ -17,8 +17,15 @@ ORDER_COLUMNS = ["keyword_ord", "variant_ord", "source_ord", "item_ord"]
 CANDIDATE_FIELDS = ["title", "abstract", "journal", "doi", "published", "url", "kind", "search_url"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, rebalance: bool = False) -> DataFrame:
+    """A landed table.
+
+    ``rebalance`` deals its rows out anew, for queries with much work per row
+    over tables that are landed as a single row group; operators never do it,
+    and a corpus of many files needs none.
+    """
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return table.hint("rebalance") if rebalance else table
 
 
 def documents_as_candidates(documents: DataFrame) -> DataFrame:
