@@ -36,6 +36,8 @@ _SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.
 HASHES = 140
 #: Hashes compared before the posterior is looked at again.
 BATCH = 20
+#: Shingles that make a class count once more when tiles are filled, so that long texts make small tiles.
+HEAVY = 1000
 #: Remainders of hashed ids by which texts are filtered before they are shuffled.
 FILTER = 1 << 20
 
@@ -219,8 +221,8 @@ def _sides(la, lb, side):
 def star_tiles(members: DataFrame, tile: int) -> DataFrame:
     """Each class against the least class of all its buckets: the leader meets its followers, a tile at a time."""
     heads = members.groupBy("key").agg(F.min("cls").alias("head"))
-    first = members.select("key", "cls").join(heads, "key").groupBy("cls").agg(F.min("head").alias("head")).filter("cls <> head")
-    sizes = first.groupBy("head").agg(F.expr(f"cast(ceil(count(*) / {tile}) as int)").alias("tiles"))
+    first = members.select("key", "cls", "weight").join(heads, "key").groupBy("cls").agg(F.min("head").alias("head"), F.first("weight").alias("weight")).filter("cls <> head")
+    sizes = first.groupBy("head").agg(F.expr(f"cast(ceil(sum(weight) / {tile}) as int)").alias("tiles"))
     follow = first.join(sizes, "head").select(F.col("head").alias("key"), F.expr("pmod(xxhash64(cls, 7), tiles)").alias("la"), F.lit(1).alias("side"), "cls")
     lead = sizes.select(F.col("head").alias("key"), F.explode(F.expr("sequence(0L, cast(tiles - 1 as bigint))")).alias("la"), F.lit(0).alias("side"), F.col("head").alias("cls"))
     both = lead.unionByName(follow)
@@ -233,7 +235,7 @@ def bucket_tiles(members: DataFrame, tile: int) -> DataFrame:
     A component with half a tile of members or more in a bucket has tiles of its own, which never meet
     each other: a large group of copies costs as much as the rest of its buckets is large.
     """
-    comps = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    comps = members.groupBy("key", "comp").agg(F.sum("weight").alias("n"))
     per = comps.groupBy("key").agg(F.count("*").alias("comps"), F.expr(f"sum(if(n < {tile // 2}, n, 0))").alias("mixed")).filter("comps > 1")
     own = comps.join(per, "key").withColumn("pure", F.expr(f"n >= {tile // 2}")).withColumn("tiles", F.expr(f"cast(ceil(if(pure, n, mixed) / {tile}) as int)"))
     placed = members.join(own.select("key", "comp", "pure", "tiles"), ["key", "comp"])
@@ -293,16 +295,16 @@ def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, miss: fl
     """Links (a, b) between classes whose components are those of all links among candidates."""
     rows = band_rows(percent / 100, miss)
     keys = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), F.substring("sig", 2 * b * rows + 1, 2 * rows)).alias("key")) for b in range(HASHES // rows)))
-    posted = reps.select("cls", F.inline(keys))
+    posted = reps.select("cls", F.expr(f"cast(1 + n div {HEAVY} as int)").alias("weight"), F.inline(keys))
     shared = posted.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
     posted = stored(posted.join(shared, "key"), "posted")
     full = posted.groupBy("key").agg(F.count("*").alias("members"), F.min("band").alias("band"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.bit_xor(F.xxhash64("cls")).alias("mark"))
     once = full.groupBy("members", "low", "high", "mark").agg(F.min(F.struct("band", "key")).alias("first")).select("first.band", "first.key")
-    members = stored(posted.select("key", "cls").join(once, "key"), "buckets")
+    members = stored(posted.select("key", "cls", "weight").join(once, "key"), "buckets")
     sigs = reps.select("cls", "sig")
     first = verified(star_tiles(members, tile), docs, sigs, shingle, percent, miss)
     found = components(first)
-    labelled = members.join(found, F.col("cls") == F.col("node"), "left").select("key", "band", "cls", F.coalesce("component", "cls").alias("comp"))
+    labelled = members.join(found, F.col("cls") == F.col("node"), "left").select("key", "band", "cls", "weight", F.coalesce("component", "cls").alias("comp"))
     rest = verified(bucket_tiles(labelled, tile), docs, sigs, shingle, percent, miss)
     return first.unionByName(rest)
 
@@ -311,7 +313,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     """A row per document: doc_id, n_shingles, component_id, kept, and its class (smallest exact copy)."""
     sk = stored(sketches(docs, shingle), "sketches")
     # equal sets have equal signatures: any row's will do
-    reps = sk.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig"))
+    reps = sk.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("cls"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     reps = stored(reps, "classes")
     found = components(links(docs, reps, shingle, percent, miss, tile))
     labelled = reps.select("f1", "f2", "cls").join(found, F.col("cls") == F.col("node"), "left").select("f1", "f2", "cls", F.coalesce("component", "cls").alias("component"))
