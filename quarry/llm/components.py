@@ -38,11 +38,12 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder. It ends once every node hangs on its component's least node.
     """
     edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter(F.col("a") != F.col("b")).distinct(), "edges")
+    state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 31))).first())
+    before = state(edges)
     while True:
-        nxt = stored(_small_star(_large_star(edges)), "edges")
-        state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 31))).first())
-        if state(nxt) == state(edges):
+        edges = stored(_small_star(_large_star(edges)), "edges")
+        if (now := state(edges)) == before:
             break
-        edges = nxt
+        before = now
     labels = edges.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     return labels.unionByName(labels.select(F.col("component").alias("node"), "component").distinct())

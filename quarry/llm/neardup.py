@@ -229,6 +229,18 @@ def star_tiles(members: DataFrame, tile: int) -> DataFrame:
     return both.select("key", F.lit(0).alias("band"), "la", F.lit(-1).cast("long").alias("lb"), "side", "cls", F.col("cls").alias("comp"))
 
 
+def leaders(stars: DataFrame, jumps: int = 2) -> DataFrame:
+    """(node, leader): the leader's leader's leader of each class that is linked to its leader.
+
+    Classes with one leader are connected; connected ones may still have two, which then meet once more.
+    """
+    up = stars.groupBy(F.greatest("a", "b").alias("node")).agg(F.min(F.least("a", "b")).alias("leader"))
+    for _ in range(jumps):
+        above = up.select(F.col("node").alias("leader"), F.col("leader").alias("above"))
+        up = up.join(above, "leader", "left").select("node", F.coalesce("above", "leader").alias("leader"))
+    return stored(up, "leaders")
+
+
 def bucket_tiles(members: DataFrame, tile: int) -> DataFrame:
     """Pairs of tiles of the buckets that hold several components.
 
@@ -303,8 +315,7 @@ def links(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, miss: fl
     members = stored(posted.select("key", "cls", "weight").join(once, "key"), "buckets")
     sigs = reps.select("cls", "sig")
     first = verified(star_tiles(members, tile), docs, sigs, shingle, percent, miss)
-    found = components(first)
-    labelled = members.join(found, F.col("cls") == F.col("node"), "left").select("key", "band", "cls", "weight", F.coalesce("component", "cls").alias("comp"))
+    labelled = members.join(leaders(first), F.col("cls") == F.col("node"), "left").select("key", "band", "cls", "weight", F.coalesce("leader", "cls").alias("comp"))
     rest = verified(bucket_tiles(labelled, tile), docs, sigs, shingle, percent, miss)
     return first.unionByName(rest)
 
