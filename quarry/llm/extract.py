@@ -141,8 +141,10 @@ def fit(pages: DataFrame, most_pages: int = MOST_PAGES) -> Boosted | None:
     """Learn from the bounded sample; a task of its own makes the features."""
     spark = pages.sparkSession
     small_batches(spark)
-    marked = pages.select("html").filter(F.col("html").rlike("(?is)<(article|main)\\b[^>]*>.*</(article|main)\\s*>"))
-    some = marked.withColumn("h", F.xxhash64("html")).orderBy("h").limit(most_pages).drop("h")
+    marked = pages.select("html", F.xxhash64("html").alias("h")).filter(F.col("html").rlike("(?is)<(article|main)\\b[^>]*>.*</(article|main)\\s*>"))
+    # hashes are compared first and only the chosen pages move; copies of a page count once
+    chosen = F.broadcast(marked.groupBy("h").agg(F.lit(1)).select("h").orderBy("h").limit(most_pages))
+    some = marked.join(chosen, "h", "left_semi").groupBy("h").agg(F.first("html").alias("html")).select("html")
 
     def run(batches):
         def out():

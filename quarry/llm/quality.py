@@ -30,6 +30,8 @@ PASSAGE = 512
 MOST_DOCS = 4000
 #: Passages of a document that training looks at, spread evenly; scoring looks at all.
 MOST_PASSAGES = 24
+#: Passages whose bytes are counted at once.
+SLICE = 4096
 FOLDS = 5
 HIDDEN, GATE = 16, 8
 
@@ -45,11 +47,16 @@ def passage_features(text: str | None) -> np.ndarray:
     """(passages, features) of the whole text."""
     data = np.frombuffer((text or "").encode(), dtype=np.uint8)
     n = max(1, -(-len(data) // PASSAGE))
-    of = np.arange(len(data)) // PASSAGE
-    size = np.maximum(np.bincount(of, minlength=n), 1)[:, None]
-    shown = np.bincount(of * 129 + _SHOWN[data], minlength=n * 129).reshape(n, 129) / size
-    kind = _KIND[data]
-    pair = np.bincount(of[1:] * 64 + kind[:-1] * 8 + kind[1:], minlength=n * 64).reshape(n, 64) / size
+    shown, pair = np.zeros((n, 129), dtype=np.float32), np.zeros((n, 64), dtype=np.float32)
+    for first in range(0, n, SLICE):  # some passages at a time, so that long texts need no more memory than their features
+        last = min(n, first + SLICE)
+        part = data[first * PASSAGE : last * PASSAGE]
+        of, m = np.arange(len(part)) // PASSAGE, last - first
+        size = np.maximum(np.bincount(of, minlength=m), 1)[:, None]
+        shown[first:last] = np.bincount(of * 129 + _SHOWN[part], minlength=m * 129).reshape(m, 129) / size
+        kind = _KIND[data[max(0, first * PASSAGE - 1) : last * PASSAGE]]
+        second = of[len(of) - len(kind) + 1 :]
+        pair[first:last] = np.bincount(second * 64 + kind[:-1] * 8 + kind[1:], minlength=m * 64).reshape(m, 64) / size
     words = (text or "").split()
     lines = [x for x in (text or "").split("\n") if x]
     whole = [len(set(words)) / max(1, len(words)), len(set(lines)) / max(1, len(lines)), np.log1p(len(words)) / 10, sum(map(len, words)) / max(1, len(words)) / 20]
