@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 LONG = " ".join(f"w{k % 977}x{k}" for k in range(30_000))
@@ -25,3 +27,15 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 def word_lists(text, pattern):
     return re.findall(pattern, (text or "").translate(ASCII_LOWER))
+
+
+@pytest.fixture
+def docs(spark):
+    """With two more columns, whose names clash with what operators add."""
+    rows = [(*r, 7, "x") for r in DOCS]
+    return spark.createDataFrame(rows, SCHEMA + ", score int, n_lines string").repartition(3)
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)

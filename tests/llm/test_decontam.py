@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from conftest_llm import DOCS, word_lists
+from conftest_llm import DOCS, docs, no_docs, word_lists  # noqa: F401
 from quarry.llm import decontam
 from quarry.llm.common import stored
 

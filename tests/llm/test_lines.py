@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from conftest_llm import DOCS
+from conftest_llm import DOCS, docs, no_docs  # noqa: F401
 from quarry.llm import lines
 
 WS = " \t\n\x0b\x0c\r"

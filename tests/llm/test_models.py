@@ -4,7 +4,7 @@ import random
 import zlib
 
 import numpy as np
-from conftest_llm import DOCS
+from conftest_llm import DOCS, docs, no_docs  # noqa: F401
 from quarry.llm import extract, langid, quality
 from quarry.llm.dom import Page
 from quarry.llm.trees import boost

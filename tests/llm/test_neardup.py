@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest_llm import DOCS, word_lists
+from conftest_llm import DOCS, docs, no_docs, word_lists  # noqa: F401
 from quarry.llm import neardup
 from quarry.llm.components import components
 

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from conftest_llm import DOCS
+from conftest_llm import DOCS, docs, no_docs  # noqa: F401
 from quarry.llm import packing
 from tokenizers import Tokenizer
 
