@@ -72,7 +72,7 @@ DATASET_HINT_TERMS = [
     "panel data", "time series",
 ]
 
-# Country/region-level geography terms (a city or port is a sharper probe).
+# Geography terms that probes use last.
 BROAD_GEOGRAPHY_TERMS = [
     "bangladesh", "bangladeshi", "south asia", "south asian", "bay of bengal",
 ]
@@ -93,19 +93,12 @@ WEIGHTS = {
     "abstract_penalty": -15,
 }
 
-MAX_RESULTS_PER_SEARCH = 50
-MAX_QUERY_VARIANTS = 4
 MIN_SCORE = 45
 REQUIRE_TITLE_COMMODITY = True
-EXTRACT_LIMIT = 40
 EXTRACT_MIN_SCORE = 60
 MIN_TABLE_ROWS = 2
 MIN_TABLE_COLS = 2
-DATASET_FILE_LIMIT = 3
-DATASET_MAX_BYTES = 25 * 1024 * 1024
-FIGURE_BUNDLE_MAX_BYTES = 50 * 1024 * 1024
 LANDING_PAGE_MAX_BYTES = 5 * 1024 * 1024
-CAPTION_PREVIOUS_MAX_CHARS = 300
 SLUG_MAX_CHARS = 80
 SAFE_NAME_MAX_CHARS = 120
 
@@ -124,7 +117,7 @@ ALL_SOURCES = API_SOURCES + HTML_SOURCES
 
 DATA_JOURNAL_ISSNS = ["2352-3409", "2052-4463", "2306-5729", "1866-3516", "2169-3536"]
 
-# Sources whose records reliably carry tables or files (yield rank +2).
+# Yield rank +2.
 DATA_SOURCE_NAMES = [
     "Crossref Data Journals", "Zenodo", "DataCite", "IEEE DataPort", "Scientific Data",
 ]
