@@ -4,12 +4,16 @@ A vector is represented by its ``near`` nearest of ``pivots`` pivots, in order.
 shards by hash; a shard posts them in inverted files, one per pivot: which vectors have it, at which
 place. A query adds up, over the files of its own nearest pivots, Spearman's footrule distance
 (a vector missing from a file counts as if the pivot came last), the ``rerank`` share of a shard's
-vectors that is nearest by footrule is scored exactly, and the best of all shards are merged.
+vectors that is most promising is scored exactly, and the best of all shards are merged.
 Queries are met in blocks: every block joins every shard once.
 
 Nearness is the largest inner product; pivots are ordered by inner product with the vector, which
-is the order of distance for pivots of one length (they are normalised). Equal vectors of a shard
-are posted once and stand for all their ids, smallest first.
+is the order of distance for pivots of one length (they are normalised). So the footrule tells the
+angle only, and lengths are taken exactly: a line fitted per shard turns footrules into cosines; the
+``LEAST`` vectors of the largest cosine times length are scored, and with the score found last among
+the ``k`` best, T, the others rank by how far their cosine is above what they need, T / (|x| |q|).
+For vectors of one length that is the order of the footrule. Equal vectors of a shard are posted once
+and stand for all their ids, smallest first.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor
 do those of another length than most of the pivots; a null ``vec_id`` takes no part; rows repeated
@@ -32,6 +36,8 @@ PIVOTS, NEAR = 128, 64
 SHARD, BLOCK = 16384, 2048
 #: Vectors of a shard that are scored exactly at least.
 LEAST = 256
+#: Vectors of a shard that are compared with all others to fit cosines to footrules.
+FITTED = 32
 _SHARD = "shard int, ids array<array<long>>, vectors binary, file_ends binary, members binary, places binary"
 _SHARD_ARROW = pa.schema([("shard", pa.int32()), ("ids", pa.list_(pa.list_(pa.int64()))), ("vectors", pa.binary()), ("file_ends", pa.binary()), ("members", pa.binary()), ("places", pa.binary())])
 
@@ -83,6 +89,27 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, shards: int, near: int =
     return fit.groupBy("shard").applyInArrow(run, _SHARD)
 
 
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Euclidean lengths, also of vectors whose squares are out of range."""
+    most = np.abs(x).max(axis=1)
+    return most * np.linalg.norm(x / most[:, None], axis=1)
+
+
+def cosine_line(x: np.ndarray, long: np.ndarray, saved: np.ndarray, own: np.ndarray) -> tuple[float, float]:
+    """Intercept and slope of the cosines with vectors ``own`` over what their footrules save, (own, vectors)."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        unit = x / long[:, None]
+        cosines = unit[own] @ unit.T
+    other = np.isfinite(cosines)
+    other[np.arange(len(own)), own] = False
+    s, c = saved[other].astype(float), cosines[other]
+    spread = ((s - s.mean()) ** 2).sum() if len(s) else 0.0
+    slope = ((s - s.mean()) * (c - c.mean())).sum() / spread if spread else 0.0
+    if slope <= 0:  # too few or too like to tell: any line that rises with what is saved
+        return 0.0, 1 / max(1, int(saved.max(initial=0)))
+    return c.mean() - slope * s.mean(), slope
+
+
 def search_shard(row: tuple, queries: list[tuple], pivots: np.ndarray, near: int, k: int, rerank: float):
     """(query_id, vec_id, score) of each query's best in one shard."""
     _, ids, vectors, ends, members, places = row
@@ -91,12 +118,28 @@ def search_shard(row: tuple, queries: list[tuple], pivots: np.ndarray, near: int
     firsts = np.r_[0, ends[:-1]]
     q = np.array([v for _, v in queries])
     take = min(len(ids), max(LEAST, int(np.ceil(rerank * len(ids)))))
-    for (query, _), v, order in zip(queries, q, nearest_pivots(q, pivots, near), strict=True):
+
+    def saved_by(order):
         saved = np.zeros(len(ids), dtype=np.int32)  # half of what the footrule is below that of lists without a common pivot
         for place, pivot in enumerate(order.tolist()):
             a, b = firsts[pivot], ends[pivot]
             saved[members[a:b]] += near - np.maximum(places[a:b], place)
-        some = np.argpartition(-saved, take - 1)[:take] if take < len(ids) else np.arange(len(ids))
+        return saved
+
+    if take < len(ids):
+        long, long_q = lengths(x), lengths(q)
+        own = np.linspace(0, len(ids) - 1, min(FITTED, len(ids))).astype(int)
+        base, slope = cosine_line(x, long, np.stack([saved_by(o) for o in nearest_pivots(x[own], pivots, near)]), own)
+    for at, ((query, _), v, order) in enumerate(zip(queries, q, nearest_pivots(q, pivots, near), strict=True)):
+        some = np.arange(len(ids))
+        if take < len(ids):
+            cosine = base + slope * saved_by(order)
+            some = np.argpartition(-(cosine * long), LEAST - 1)[:LEAST]
+            last = min(k + 1, LEAST)  # the query itself may be one
+            with np.errstate(over="ignore", invalid="ignore"):
+                needed = np.partition(x[some] @ v, -last)[-last] / long_q[at] / long
+            margin = np.where(np.isfinite(needed), cosine - needed, cosine)
+            some = np.union1d(some, np.argpartition(-margin, take - 1)[:take])
         scores = x[some] @ v
         best = np.argpartition(-scores, k)[: k + 1] if k + 1 < len(some) else np.arange(len(some))
         cut = scores[best].min()

@@ -40,3 +40,26 @@ def test_many_copies(spark):
     rows = [(k, [1.0, 0.0, 0.0, 0.0] if k % 3 == 0 else [float(c) for c in rng.normal(size=4) / 9]) for k in range(900)]
     got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).filter("query_id = 60").orderBy("rank").collect()
     assert [r.vec_id for r in got] == [k for k in range(0, 900, 3) if k != 60][:20]
+
+
+def _recall(spark, x):
+    n = len(x)
+    df = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for q in range(0, n, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall.append(len(got[q] & set(np.argsort(-s)[:20].tolist())) / 20)
+    return np.mean(recall)
+
+
+def test_recall_of_varying_lengths(spark):
+    """Long vectors win by inner product, also from outside the nearest share by angle."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for sigma in (0.25, 0.5, 1.0, 2.0):
+        assert _recall(spark, x * np.exp(sigma * rng.normal(size=(4000, 1)))) >= 0.95
