@@ -1,4 +1,8 @@
-"""A page's block elements, their text runs and their features (helper of operator 7)."""
+"""A page's block elements, their text runs and their features (helper of operator 7).
+
+Text that stands in no element inside html or body, but for inline ones, makes a block of its own
+(tag ``BARE``) from one block's edge to the next, with the names of the inline elements around all of it.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,8 @@ import numpy as np
 BLOCKS = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript template iframe svg object select button".split())
+#: Blocks whose direct text makes blocks of its own, and the tag of those.
+ROOTS, BARE = {"html", "body"}, "#text"
 CLOSES_P = BLOCKS - {"html", "body", "tbody", "td", "tfoot", "th", "thead", "tr"}
 #: A start tag closes an open element of the second set, up to one of the third.
 CLOSERS = {
@@ -40,8 +46,16 @@ GROUPS: dict[str, set[str]] = {
     "comment": set("comment comments reply replies disqus discussion respond feedback".split()),
     "share": set("share sharing social follow tags meta byline author".split()),
 }
+#: An attribute by which the labels of training pages survive the changes made to them.
+LABEL = "zqlabel"
+#: Names that bare text takes from inline elements.
+_KNOWN = frozenset().union({LABEL}, *GROUPS.values())
 _TAGS = {"article": "main", "main": "main", "nav": "menu", "menu": "menu", "header": "header", "footer": "footer", "aside": "side", "form": "form", "dialog": "notice", "fieldset": "form"}
-_KINDS = ["p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "div", "section", "td", "table", "blockquote", "pre"]
+_KINDS = ["p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "div", "section", "td", "table", "blockquote", "pre", BARE]
+
+
+def _names(attributes: str) -> set[str]:
+    return {t for a in _ATTRIBUTE.findall(attributes) for t in _TOKEN.findall(a.lower())}
 
 
 class Page:
@@ -54,17 +68,38 @@ class Page:
         self._read(html)
 
     def _read(self, html: str) -> None:
-        stack = [(0, "html")]  # open elements: (block element they belong to, tag)
+        stack = [(0, "html", frozenset())]  # open elements: (block element they belong to, tag, known names if inline in a root)
         held: list[str] = []
+        bare, named = -1, False  # the open block of bare text; whether it has names yet
         in_link = 0
         open_of: dict[str, int] = {}
 
+        def add(tag, parent, tokens):
+            self.tag.append(tag)
+            self.parent.append(parent)
+            self.tokens.append(tokens)
+            for x in (self.links, self.link_chars, self.marks):
+                x.append(0)
+            return len(self.tag) - 1
+
+        def home():
+            """The block that text belongs to here."""
+            nonlocal bare
+            block = stack[-1][0]
+            if self.tag[block] not in ROOTS:
+                return block
+            if bare < 0:
+                bare = add(BARE, block, set())
+            return bare
+
         def flush():
+            nonlocal bare, named
             if held:
                 text = " ".join("".join(held).split())
                 held.clear()
                 if text:
-                    self.runs.append((stack[-1][0], text))
+                    self.runs.append((home(), text))
+            bare, named = -1, False
 
         def pop():
             nonlocal in_link
@@ -85,10 +120,15 @@ class Page:
                     return
 
         def put(text):
+            nonlocal named
             if text:
+                if self.tag[stack[-1][0]] in ROOTS and not text.isspace():
+                    k = home()
+                    self.tokens[k] = self.tokens[k] & stack[-1][2] if named else set(stack[-1][2])
+                    named = True
                 held.append(_html.unescape(text) if "&" in text else text)
-                if in_link:
-                    self.link_chars[stack[-1][0]] += len(text)
+                if in_link and (bare >= 0 or self.tag[stack[-1][0]] not in ROOTS):
+                    self.link_chars[home()] += len(text)
 
         at, n = 0, len(html)
         while at < n:
@@ -120,23 +160,21 @@ class Page:
             if tag in CLOSERS and any(open_of.get(t) for t in CLOSERS[tag][0]):
                 for _ in range(len(CLOSERS[tag][0])):
                     close(*CLOSERS[tag])
-            block = stack[-1][0]
+            block, names = stack[-1][0], frozenset()
             self.marks[block] += 1
             if tag in BLOCKS:
                 flush()
-                self.tag.append(tag)
-                self.parent.append(block)
-                tokens = set()
-                for a in _ATTRIBUTE.findall(mark[3]):
-                    tokens.update(_TOKEN.findall(a.lower()))
-                self.tokens.append(tokens)
-                for x in (self.links, self.link_chars, self.marks):
-                    x.append(0)
-                block = len(self.tag) - 1
+                block = add(tag, block, _names(mark[3]))
+            elif self.tag[block] in ROOTS:
+                names = stack[-1][2] | _KNOWN.intersection(_names(mark[3]).union(_TOKEN.findall(tag)))
+                if tag == "a":
+                    self.links[home()] += 1
+                if bare >= 0:
+                    self.marks[bare] += 1
             elif tag == "a":
                 self.links[block] += 1
             if tag not in VOID and not mark[3].endswith("/"):
-                stack.append((block, tag))
+                stack.append((block, tag, names))
                 open_of[tag] = open_of.get(tag, 0) + 1
                 in_link += tag == "a"
         while len(stack) > 1:

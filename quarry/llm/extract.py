@@ -8,7 +8,9 @@ The trees are learnt from at most ``MOST_PAGES`` pages, those with the least has
 article (``article`` or ``main``): the mark is the label. As real pages mark it in many ways or not at
 all, each also serves with its mark renamed or removed, and with menus, notices, sidebars, forms,
 adverts and reader comments added around and inside the article, and with some of its paragraphs as
-lists, quotes, headings, tables or plain boxes.
+lists, quotes, headings, tables or plain boxes. Text that stands directly in html or body makes blocks
+of its own, which are judged like others; for that, pages also serve with their article there, as text
+with line breaks or in inline elements, with bare menus and notices around it, and without any tag.
 
 Defined cases: a null or empty page has no text; markup that is broken off or not closed is read as
 far as it goes; a null ``page_id`` or ``url`` stays null; repeated rows are extracted each; an empty
@@ -27,13 +29,12 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import chunks, rows_of, small_batches
 from quarry.llm.dom import GROUPS, Page
+from quarry.llm.dom import LABEL as _LABEL
 from quarry.llm.trees import Boosted, boost
 
 MOST_PAGES = 300
 _MARKED = re.compile(r"<(article|main)\b[^>]*>(.*?)</\1\s*>", re.S | re.I)
 _NOT_MAIN = [g for g in GROUPS if g not in ("main", "share")]
-#: An attribute by which labels survive the changes made to a training page.
-_LABEL = "zqlabel"
 
 
 def _boilerplate(rng: random.Random, words: list[str]) -> str:
@@ -83,7 +84,31 @@ def training_pages(html: str, rng: random.Random) -> list[str]:
         body = f'<{name} class="{_LABEL} {token}">{_dressed(rng, inside)}{junk(2)}</{name}>'
         wrap = rng.choice(["{}", "<div>{}</div>", "<div class='wrap'><div>{}</div></div>"])
         out.append(f"{first}{junk(4)}{wrap.format(junk(2) + body + junk(3))}{junk(3)}{last}")
-    return out
+    return out + bare_pages(inside, rng, words)
+
+
+def _bare_junk(rng: random.Random, words: list[str]) -> str:
+    """What isn't the article, directly in the body: links, or a short named or plain notice; a block ends it."""
+    some = lambda n: " ".join(rng.choices(words, k=n))
+    links = rng.choice([" ", " | ", "<br>", " - "]).join(f"<a href='#'>{some(rng.choice([1, 2, 3]))}</a>" for _ in range(rng.choice([2, 4, 8])))
+    token = rng.choice(sorted(GROUPS[rng.choice(_NOT_MAIN)]))
+    named = f'<{(tag := rng.choice(["span", "b", "font", "x-box"]))} {rng.choice(["class", "id"])}="{token}">{some(rng.choice([2, 6, 20]))}</{tag}>'
+    return rng.choice([links, links, named]) + "<hr>"
+
+
+def bare_pages(inside: str, rng: random.Random, words: list[str]) -> list[str]:
+    """Pages whose article stands in the body without a block around it, and one of text alone.
+
+    The label is an inline element around each run of text, whose names its block takes.
+    """
+    blocks = [t for t in (" ".join(re.sub(r"<[^>]*>", " ", b).split()) for b in re.split(r"(?i)</?(?:p|h\d|div|li|ul|ol|section|table|tr|td|blockquote)\b[^>]*>", inside)) if t] or ["text"]
+    inline = rng.choice(["span", "font", "b", "x-text"])
+    label = lambda t: f'<{inline} class="{_LABEL}">{t}</{inline}>'
+    mixed = "".join(rng.choice([label(t), f'<p class="{_LABEL}">{t}</p>', f'<p class="{_LABEL}">{t}</p>']) for t in blocks)
+    junk = lambda n: "".join(rng.choice([_bare_junk, _boilerplate])(rng, words) for _ in range(rng.randrange(n)))
+    broken = rng.choice(["<br>", "<br><br>"]).join(label(t) for t in blocks)
+    few = " ".join(blocks[0].split()[: rng.choice([3, 8, 20, 80])])
+    return [f"<html><body>{junk(4)}{body}<hr>{junk(4)}</body></html>" for body in (broken, mixed)] + [label(rng.choice([few, " ".join(blocks)]))]
 
 
 def labelled(html: str) -> tuple[np.ndarray, np.ndarray]:
@@ -133,8 +158,7 @@ def decode(page: Page, odds: np.ndarray) -> np.ndarray:
 
 def main_text(page: Page, odds: np.ndarray) -> str:
     kept = decode(page, odds)
-    bare = {"html", "body"}  # text that stands in no element inside the body is no article
-    return "\n\n".join(text for k, text in page.runs if kept[k] and page.tag[k] not in bare)
+    return "\n\n".join(text for k, text in page.runs if kept[k])
 
 
 def fit(pages: DataFrame, most_pages: int = MOST_PAGES) -> Boosted | None:

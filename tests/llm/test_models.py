@@ -116,3 +116,29 @@ def test_nothing_is_kept_below_what_is_dropped():
     for _ in range(50):
         kept = extract.decode(page, rng.normal(size=len(page.tag)) * 4)
         assert all(kept[page.parent[k]] for k in np.flatnonzero(kept) if k)
+
+
+def test_extraction_of_bare_text(spark):
+    """Articles directly in the body, in inline elements or without any tag, beside menus; no block holds them."""
+    a, b, c = ("The river rose for three days, and nobody in the town slept much. Boats were tied to the doors.", "On the fourth day the water fell, slowly at first, and people came out to count what was left of it.", "What was left was little, they said, but it would do until the spring.")
+    menu = "<a href='/'>Home</a> | <a href='/n'>News</a> | <a href='/a'>About</a> | <a href='/c'>Contact</a>"
+    cases = {
+        1: (f"<html><body>{a}<br><br>{b}<br>{c}</body></html>", f"{a} {b} {c}"),
+        2: (f"<html><body><span>{a}</span><font size=2>{b}</font> <x-text>{c}</x-text></body></html>", f"{a}{b} {c}"),
+        3: (f"{a} &amp; {b}", f"{a} & {b}"),
+        4: (f"<html><body><p>{a}</p>{b}<p>{c}</p></body></html>", f"{a}\n\n{b}\n\n{c}"),
+        5: (f"<html><body>{menu}<hr>{a}<br>{b}<br>{c}<hr>{menu}</body></html>", f"{a} {b} {c}"),
+        6: (f"<html><body><div class='menu'>{menu}</div>{a}<br>{b}<br>{c}<div id='footer'>{menu}</div></body></html>", f"{a} {b} {c}"),
+        7: ("a &amp; b &lt; &#233; &nope;", "a & b < é &nope;"),
+    }
+    rows = spark.createDataFrame([(k, "u", h) for k, (h, _) in cases.items()], "page_id long, url string, html string")
+    model = extract.fit(spark.read.parquet(f"{SF}/pages.parquet"))
+    assert model is not None
+    assert {r.page_id: r.text for r in extract.extract(rows, model).collect()} == {k: t for k, (_, t) in cases.items()}
+    plain = {r.page_id: r.text for r in extract.extract(rows, None).collect()}
+    assert all(plain[k] == cases[k][1] for k in (1, 2, 3, 4, 7))
+
+
+def test_bare_text_takes_names_from_around_all_of_it():
+    page = Page("<body>x <a class='menu'>y</a> z<hr><span class='menu'>u <b>v</b></span><hr><a class='popup'>w</a> t" + "<span class=nav>s<hr>" * 3)
+    assert [(text, page.tokens[k]) for k, text in page.runs] == [("x y z", set()), ("u v", {"menu"}), ("w ts", set()), ("s", {"nav"}), ("s", {"nav"})]
