@@ -2,6 +2,9 @@
 
 Text that stands in no element inside html or body, but for inline ones, makes a block of its own
 (tag ``BARE``) from one block's edge to the next, with the names of the inline elements around all of it.
+
+Nothing inside an element of ``QUIET`` is main text. Where its end tag is missing, it ends with its
+parent and only its label, the text up to the next block or line break, isn't main text.
 """
 
 from __future__ import annotations
@@ -14,7 +17,9 @@ import numpy as np
 #: Element kinds of HTML.
 BLOCKS = set("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe svg object select button".split())
+#: Their text ends at their end tag only, whatever stands before it.
+RAW = set("script style textarea title iframe".split())
+QUIET = set("noscript template svg object select button".split())
 #: Blocks whose direct text makes blocks of its own, and the tag of those.
 ROOTS, BARE = {"html", "body"}, "#text"
 CLOSES_P = BLOCKS - {"html", "body", "tbody", "td", "tfoot", "th", "thead", "tr"}
@@ -62,17 +67,23 @@ class Page:
     """Block elements in page order (a parent before its children) and text runs."""
 
     def __init__(self, html: str):
+        unclosed = self._read(html, frozenset())
+        if unclosed:  # once more, as which end tags are missing is known at the end only
+            self._read(html, unclosed)
+
+    def _read(self, html: str, unclosed: frozenset[int]) -> frozenset[int]:
+        """Read the page; gives the places of QUIET elements without an end tag, besides ``unclosed``."""
         self.tag, self.parent, self.tokens = ["html"], [-1], [set()]
         self.links, self.link_chars, self.marks = [0], [0], [0]
         self.runs: list[tuple[int, str]] = []
-        self._read(html)
-
-    def _read(self, html: str) -> None:
         stack = [(0, "html", frozenset())]  # open elements: (block element they belong to, tag, known names if inline in a root)
         held: list[str] = []
         bare, named = -1, False  # the open block of bare text; whether it has names yet
         in_link = 0
         open_of: dict[str, int] = {}
+        quiet: list[int] = []  # places of open QUIET elements
+        label = False  # inside the label of an unclosed one
+        missing: set[int] = set()
 
         def add(tag, parent, tokens):
             self.tag.append(tag)
@@ -93,7 +104,8 @@ class Page:
             return bare
 
         def flush():
-            nonlocal bare, named
+            nonlocal bare, named, label
+            label = False
             if held:
                 text = " ".join("".join(held).split())
                 held.clear()
@@ -101,27 +113,32 @@ class Page:
                     self.runs.append((home(), text))
             bare, named = -1, False
 
-        def pop():
+        def pop(ended=False):
             nonlocal in_link
-            if stack[-1][1] in BLOCKS:
+            if stack[-1][1] in BLOCKS and not quiet:
                 flush()
             tag = stack.pop()[1]
             open_of[tag] -= 1
             in_link -= tag == "a"
+            if tag in QUIET:
+                at = quiet.pop()
+                if not ended:
+                    missing.add(at)
 
-        def close(tags, until=()):
+        def close(tags, until=(), ended=False):
             """Close up to the innermost of ``tags``, unless one of ``until`` stands inside it."""
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][1] in tags:
-                    while len(stack) > k:
+                    while len(stack) > k + 1:
                         pop()
+                    pop(ended)
                     return
                 if stack[k][1] in until:
                     return
 
         def put(text):
             nonlocal named
-            if text:
+            if text and not quiet and not label:
                 if self.tag[stack[-1][0]] in ROOTS and not text.isspace():
                     k = home()
                     self.tokens[k] = self.tokens[k] & stack[-1][2] if named else set(stack[-1][2])
@@ -143,8 +160,8 @@ class Page:
             tag = mark[2].lower()
             if mark[1]:
                 if open_of.get(tag):
-                    close({tag})
-                elif tag == "p":
+                    close({tag}, ended=True)
+                elif tag == "p" and not quiet:
                     flush()
                 continue
             if tag in RAW:
@@ -152,14 +169,29 @@ class Page:
                     end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(html, at)
                     at = end.end() if end else n
                 continue
+            if tag in QUIET:
+                if mark.start() in unclosed:
+                    label = label or not quiet
+                elif not mark[3].rstrip().endswith("/"):
+                    stack.append((stack[-1][0], tag, stack[-1][2]))
+                    open_of[tag] = open_of.get(tag, 0) + 1
+                    quiet.append(mark.start())
+                continue
             if tag == "br":
                 held.append(" ")
+                label = label and bool(quiet)
                 continue
             if tag in CLOSES_P and open_of.get("p"):
-                close({"p"}, {"table"})
+                close({"p"}, QUIET | {"table"})
             if tag in CLOSERS and any(open_of.get(t) for t in CLOSERS[tag][0]):
                 for _ in range(len(CLOSERS[tag][0])):
-                    close(*CLOSERS[tag])
+                    close(CLOSERS[tag][0], QUIET | CLOSERS[tag][1])
+            if quiet:
+                if tag not in VOID and not mark[3].endswith("/"):
+                    stack.append((stack[-1][0], tag, stack[-1][2]))
+                    open_of[tag] = open_of.get(tag, 0) + 1
+                    in_link += tag == "a"
+                continue
             block, names = stack[-1][0], frozenset()
             self.marks[block] += 1
             if tag in BLOCKS:
@@ -180,6 +212,7 @@ class Page:
         while len(stack) > 1:
             pop()
         flush()
+        return frozenset(missing)
 
     def features(self) -> np.ndarray:
         """(elements, features): own and inherited kind, subtree density, depth and siblings."""

@@ -142,3 +142,15 @@ def test_extraction_of_bare_text(spark):
 def test_bare_text_takes_names_from_around_all_of_it():
     page = Page("<body>x <a class='menu'>y</a> z<hr><span class='menu'>u <b>v</b></span><hr><a class='popup'>w</a> t" + "<span class=nav>s<hr>" * 3)
     assert [(text, page.tokens[k]) for k, text in page.runs] == [("x y z", set()), ("u v", {"menu"}), ("w ts", set()), ("s", {"nav"}), ("s", {"nav"})]
+
+
+def test_unclosed_controls_lose_only_their_label():
+    read = lambda h: [t for _, t in Page(h).runs]
+    for tag in ("button", "select", "object", "svg", "noscript", "template"):
+        assert read(f"<article><p>a</p><div><{tag}>x</div><p>b</p><p>c</p></article>d") == ["a", "b", "c", "d"]
+        assert read(f"<article><p>a</p><{tag}>x<p>b</p><p>c <{tag}>y</{tag}> d</p></article>") == ["a", "b", "c d"]
+        assert read(f"a <{tag}>x<br>b<hr>c") == ["a b", "c"]
+        assert read(f"<p>a <{tag}><p>x</p><ul><li>y<li>z</ul></{tag}> b</p><p>c<{tag}/> d</p>") == ["a b", "c d"]
+        assert read(f"<ul><li>a<{tag}><li>x</{tag}><li>b</ul>") == ["a", "b"]
+    assert read("<p>a</p><textarea>x <p>y</textarea><p>b</p><script>never closed <p>x") == ["a", "b"]
+    assert read("<p>a</p>" + "<button>x" * 20_000 + "<p>b</p>") == ["a", "b"]
