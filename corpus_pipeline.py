@@ -34,9 +34,24 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of near-duplicates (five words, 0.8)."""
-    gone = neardup.near_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keep the smallest doc_id of each group of near-duplicates (five words, 0.8).
+
+    Rows that share a doc_id are told apart by their texts: of identical ones one stays, and different
+    ones are copies or not, each by its own text; of copies with one doc_id the smaller hash stays.
+    """
+    twice = stored(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id", F.lit(True).alias("shared")), "shared-ids")
+    if twice.isEmpty():
+        gone = neardup.near_duplicates(docs).filter("not kept").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    named = docs.join(twice, "doc_id", "left").withColumn("node", F.when(F.col("shared"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id")))
+    shared = named.filter("shared").groupBy("node").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    real = stored(shared.select("node", F.col("row.doc_id").alias("real")), "real-ids")
+    found = neardup.near_duplicates(named.select(F.col("node").alias("doc_id"), "text")).filter("doc_id is not null").select(F.col("doc_id").alias("node"), "component_id")
+    found = stored(found.join(real, "node", "left").withColumn("real", F.coalesce("real", "node")), "copies")
+    first = found.groupBy("component_id").agg(F.min(F.struct("real", "node")).alias("first"))
+    gone = found.join(first, "component_id").filter("node <> first.node").select("node")
+    alone = named.filter("shared is null").select("node", *COLUMNS)
+    return alone.unionByName(shared.select("node", "row.*")).join(gone, "node", "left_anti").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,3 +37,15 @@ def test_stages(spark):
         else:
             assert check(before, after) < 0.01
     assert seen["line_dedup"][0] == seen["line_dedup"][1] and seen["near_dedup"][0] > seen["near_dedup"][1]
+
+
+def test_copies_that_share_an_id(spark):
+    """Of identical rows one stays; a text beside a copy under one doc_id is judged by itself."""
+    words = lambda seed, n=120: " ".join(f"w{seed}x{k * 7919 % 1013}" for k in range(n))
+    a, b, c, d = words(1), words(2), words(3), words(4)
+    texts = [(1, a), (2, a + " end"), (3, b), (3, a + " tail"), (4, c), (4, c), (5, c), (6, d), (6, a), (7, d + " end"), (8, None), (8, None), (9, b + " x"), (9, b + " y"), (None, a), (None, a), (10, "one more " + words(5))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.drop_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    want = [(1, a), (3, b), (4, c), (6, d), (8, None), (None, a), (None, a), texts[-1]]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
