@@ -8,7 +8,7 @@ its suffix's, and that towards the whole table's. A row's own text is taken out
 judges it, so that no evidence counts twice.
 
 The n-gram models are fitted to at most ``MOST_DOCS`` labelled documents a language, those with the
-least hashes.
+least hashes; one labelled document makes a language.
 
 Defined cases: a null or empty text has no likelihood and is judged by its other evidence; a null
 address or declaration says nothing; without any evidence the table's most frequent language is taken;
@@ -61,7 +61,7 @@ def fit(docs: DataFrame, most_docs: int = MOST_DOCS) -> tuple[list[str], np.ndar
     spark = docs.sparkSession
     small_batches(spark)
     known = docs.filter("lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    langs = sorted(r["lang"] for r in known.groupBy("lang").count().filter("count >= 5").collect())  # as many rows as languages
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())  # as many rows as languages
     ids = [(r["doc_id"], lang) for lang in langs for r in known.filter(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs).collect()]
     if not ids:
         return [], np.zeros((BUCKETS, 0))

@@ -154,3 +154,15 @@ def test_unclosed_controls_lose_only_their_label():
         assert read(f"<ul><li>a<{tag}><li>x</{tag}><li>b</ul>") == ["a", "b"]
     assert read("<p>a</p><textarea>x <p>y</textarea><p>b</p><script>never closed <p>x") == ["a", "b"]
     assert read("<p>a</p>" + "<button>x" * 20_000 + "<p>b</p>") == ["a", "b"]
+
+
+def test_languages_of_few_documents(spark):
+    """One labelled document makes a language, beside large ones and in a table of few rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    few = {"el": "το ποτάμι ανέβαινε τρεις μέρες και κανείς στην πόλη δεν κοιμήθηκε πολύ", "pl": "rzeka podnosiła się przez trzy dni i nikt w mieście nie spał zbyt wiele, łódki były przywiązane do drzwi"}
+    rows = spark.createDataFrame([(-k, t, lang, "few") for k, (lang, t) in enumerate(few.items(), 1)], docs.schema)
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    got = {r.doc_id: r.text_lang for r in langid.identify(docs.unionByName(rows), none).collect()}
+    assert [got[-1], got[-2]] == ["el", "pl"]
+    alone = langid.identify(rows, none).collect()
+    assert {r.doc_id: r.text_lang for r in alone} == {-1: "el", -2: "pl"} and all(r.lang in few and r.probability > 0 for r in alone)
