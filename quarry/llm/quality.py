@@ -7,7 +7,9 @@ weighted vector is scored. Encoder, attention and scorer are learnt together fro
 
 Training takes at most ``MOST_DOCS`` labelled documents, half of each label where there are so many,
 those with the least hashes; it never takes rows of the held-out fold (crc32 of the id, mod 5, is 0).
-Scoring reads every whole text.
+It learns from all passages of a document it takes; the least hashes of both labels come first, and a
+document that would bring the sample above ``MOST_PASSAGES`` is left out whole. Scoring reads every
+whole text.
 
 Defined cases: a null or empty text is one passage without bytes; a null ``doc_id`` is scored and not
 held out; repeated rows score the same; labels that are null or contradict each other in a document
@@ -24,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import rows_of, small_batches
+from quarry.llm.common import rows_of, small_batches, stored
 
 PASSAGE = 512
 MOST_DOCS = 4000
-#: Passages of a document that training looks at, spread evenly; scoring looks at all.
-MOST_PASSAGES = 24
+#: Passages of all documents of the sample together, which the driver holds.
+MOST_PASSAGES = 100_000
 #: Passages whose bytes are counted at once.
 SLICE = 4096
 FOLDS = 5
@@ -98,9 +100,10 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: in
     if not 0 < share < 1:
         return Model({}, share)
     rng = np.random.default_rng(seed)
-    every = np.concatenate(bags).astype(np.float64)
-    w = {"mean": every.mean(0), "std": every.std(0) + 0.02}
-    d = every.shape[1]
+    n = sum(map(len, bags))  # bag by bag, so that the passages aren't held twice
+    mean = sum(x.sum(0, dtype=np.float64) for x in bags) / n
+    w = {"mean": mean, "std": np.sqrt(sum(((x - mean) ** 2).sum(0) for x in bags) / n) + 0.02}
+    d = len(mean)
     w |= {"E": rng.normal(0, d**-0.5, (d, HIDDEN)), "e": np.zeros(HIDDEN), "V": rng.normal(0, 0.3, (HIDDEN, GATE)), "U": rng.normal(0, 0.3, (HIDDEN, GATE)), "a": rng.normal(0, 0.3, GATE), "o": rng.normal(0, 0.3, HIDDEN), "b": np.zeros(())}
     learnt = ["E", "e", "V", "U", "a", "o", "b"]
     first, second, step = {k: np.zeros_like(w[k]) for k in learnt}, {k: np.zeros_like(w[k]) for k in learnt}, 0
@@ -135,15 +138,27 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS) -> Model:
-    """Learn from the bounded sample; only its features, at most MOST_PASSAGES a document, reach the driver."""
+def whole_bags(sizes: dict[int, int], order: list[list[int]], most_passages: int) -> list[int]:
+    """Documents that are learnt from: labels in turn, each in its order, as long as all their passages fit."""
+    out, total = [], 0
+    for at in range(max(map(len, order), default=0)):
+        for ids in order:
+            if at < len(ids) and ids[at] in sizes and total + sizes[ids[at]] <= most_passages:
+                out.append(ids[at])
+                total += sizes[ids[at]]
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_passages: int = MOST_PASSAGES) -> Model:
+    """Learn from the bounded sample; only its features reach the driver."""
     small_batches(docs.sparkSession)
     known = labels.filter("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("y"), F.max("quality").alias("y1"))
     known = known.filter("y = y1").filter(~held_out(F.col("doc_id"))).join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     by_hash = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs).collect() for y in (0, 1)]
     short = min(len(by_hash[0]), len(by_hash[1]))
     take = [min(len(r), max(most_docs // 2, most_docs - short)) for r in by_hash]
-    y_of = {r["doc_id"]: r["y"] for rows, n in zip(by_hash, take, strict=True) for r in rows[:n]}
+    order = [[r["doc_id"] for r in rows[:n]] for rows, n in zip(by_hash, take, strict=True)]
+    y_of = {d: y for y, ids in enumerate(order) for d in ids}
     chosen = docs.sparkSession.createDataFrame([(k,) for k in sorted(y_of)], "doc_id long")
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # at most most_docs ids
 
@@ -152,14 +167,15 @@ def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS) -> Model
             out = []
             for doc, text in rows_of([batch], "doc_id", "text"):
                 x = passage_features(text)
-                if len(x) > MOST_PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, MOST_PASSAGES).astype(int)]
-                out.append((doc, x.astype("<f2").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], names=["doc_id", "x"])
-
-    rows = sorted((r["doc_id"], bytes(r["x"])) for r in sample.mapInArrow(run, "doc_id long, x binary").dropDuplicates(["doc_id"]).collect())
-    bags = [np.frombuffer(x, "<f2").reshape(-1, N_FEATURES).astype(np.float32) for _, x in rows]
-    return train(bags, np.array([y_of[d] for d, _ in rows], dtype=np.float64))
+                out.append((doc, len(x), x.astype("<f2").tobytes()))
+            columns = [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "x"])
+
+    found = stored(sample.mapInArrow(run, "doc_id long, n long, x binary").dropDuplicates(["doc_id"]), "bags")
+    fits = set(whole_bags({r["doc_id"]: r["n"] for r in found.select("doc_id", "n").collect()}, order, most_passages))
+    bag_of = {r["doc_id"]: np.frombuffer(r["x"], "<f2").reshape(-1, N_FEATURES) for r in found.select("doc_id", "x").toLocalIterator() if r["doc_id"] in fits}
+    ids = sorted(bag_of)
+    return train([bag_of[d] for d in ids], np.array([y_of[d] for d in ids], dtype=np.float64))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:

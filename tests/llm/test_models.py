@@ -166,3 +166,20 @@ def test_languages_of_few_documents(spark):
     assert [got[-1], got[-2]] == ["el", "pl"]
     alone = langid.identify(rows, none).collect()
     assert {r.doc_id: r.text_lang for r in alone} == {-1: "el", -2: "pl"} and all(r.lang in few and r.probability > 0 for r in alone)
+
+
+def test_quality_learns_from_every_passage(spark, monkeypatch):
+    """Long documents reach training whole; where they don't fit together, some are left out whole."""
+    rng = np.random.default_rng(0)
+    ids = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 5][:40]
+    texts = [(k, " ".join(rng.choice(["even", "words", "of", "a", "text"], 6000))) for k in ids]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, n % 2) for n, k in enumerate(ids)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda bags, y: seen.append((sorted(map(len, bags)), list(y))) or quality.Model({}))
+    whole = sorted(-(-len(t) // quality.PASSAGE) for _, t in texts)
+    quality.fit(docs, labels)
+    assert seen[0][0] == whole and whole[0] > 24
+    quality.fit(docs, labels, most_passages=sum(whole) // 2)
+    assert set(seen[1][0]) <= set(whole) and 15 <= len(seen[1][0]) <= 25 and sum(seen[1][0]) <= sum(whole) // 2
+    assert abs(sum(seen[1][1]) - len(seen[1][1]) / 2) <= 1
