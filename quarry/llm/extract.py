@@ -12,7 +12,9 @@ lists, quotes, headings, tables or plain boxes. Text that stands directly in htm
 of its own, which are judged like others; for that, pages also serve with their article there, as text
 with line breaks or in inline elements, with bare menus and notices around it, and without any tag.
 
-Defined cases: a null or empty page has no text; markup that is broken off or not closed is read as
+Defined cases: where no page of the table marks its article, or labels are all of one kind, no trees
+are learnt, and elements named as something else go with what is in them, while all else stays, also
+unnamed menus and link lists (``fallback_odds``); a null or empty page has no text; markup that is broken off or not closed is read as
 far as it goes; a null ``page_id`` or ``url`` stays null; repeated rows are extracted each; an empty
 table gives an empty one; further columns are ignored.
 """

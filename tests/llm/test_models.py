@@ -183,3 +183,11 @@ def test_quality_learns_from_every_passage(spark, monkeypatch):
     quality.fit(docs, labels, most_passages=sum(whole) // 2)
     assert set(seen[1][0]) <= set(whole) and 15 <= len(seen[1][0]) <= 25 and sum(seen[1][0]) <= sum(whole) // 2
     assert abs(sum(seen[1][1]) - len(seen[1][1]) / 2) <= 1
+
+
+def test_extraction_without_marked_pages(spark):
+    """What the docstring says: named elements go, unnamed menus stay."""
+    rows = spark.createDataFrame([(1, "u", "<body><div class=menu><p>a</p></div><ul><li><a href=b>b</a></ul><div>c</div></body>")], "page_id long, url string, html string")
+    assert extract.fit(rows) is None
+    assert [r.text for r in extract.extract(rows, None).collect()] == ["b\n\nc"]
+    assert "fallback_odds" in extract.__doc__
