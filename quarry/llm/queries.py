@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from quarry.llm import ann, chat, decontam, extract, langid, lines, neardup, packing, quality, urlfilter
+from quarry.llm import ann, chat, dawg, decontam, extract, langid, lines, neardup, packing, quality, tokencount, urlfilter, variants
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -152,6 +152,21 @@ def op10(spark, sf_dir):
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@query("op11_conversation_repair")
+def op11(spark, sf_dir):
+    return dawg.repair(_table(spark, sf_dir, "conversations"))
+
+
+@query("op12_token_counts")
+def op12(spark, sf_dir):
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
