@@ -106,7 +106,8 @@ def signatures(rows: DataFrame) -> DataFrame:
 
         yield from chunks(out(), schema, weight=lambda r: len(r[1]))
 
-    ordered = signed(rows).sortWithinPartitions("conv_id", *_order()).select("conv_id", "turn", "live", "code")
+    repeated = F.col("code").bitwiseAND(3) == _DUPLICATE  # of equal rows of a turn, the one that isn't goes first
+    ordered = signed(rows).sortWithinPartitions("conv_id", *_order(), repeated).select("conv_id", "turn", "live", "code")
     return ordered.mapInArrow(run, "conv_id long, signature binary, gaps long, blank long, duplicate long, truncated long, illegal long")
 
 
