@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import text as X
 from ..shared import numbered
+from .skew import salted_join
 
 FLAT = K.FLAT_RECORD_COLUMNS
 
@@ -138,16 +139,13 @@ def articles_with_data(flat: DataFrame) -> DataFrame:
     return flat.filter(F.col("recordType") == "article").join(has, "recordId", "left_semi")
 
 
-def shared_deposits(links: DataFrame, article: str = "article_id", salts: int = 8) -> DataFrame:
+def shared_deposits(links: DataFrame, article: str = "article_id") -> DataFrame:
     """Deposits (identities) linked from more than one article, long form (identity, article).
 
-    No collect_set: a popular deposit may be linked from millions of
-    articles, so the result stays one row per (identity, article).  The counts
-    are spread over ``salts`` copies, so that such a deposit's rows meet them
-    in as many tasks.
+    No collect_set: a popular deposit may be linked from millions of articles,
+    so the result stays one row per (identity, article), and the counts meet
+    the pairs with heavy deposits salted.
     """
     pairs = links.select("identity", article).distinct()
     multi = pairs.groupBy("identity").agg(F.count(F.lit(1)).alias("n_articles")).filter(F.col("n_articles") > 1)
-    spread = multi.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = pairs.withColumn("_salt", F.pmod(F.xxhash64(article), F.lit(salts)).cast("int"))
-    return salted.join(spread, ["identity", "_salt"]).drop("_salt")
+    return salted_join(pairs, multi, ["identity"], [article])

@@ -173,62 +173,81 @@ def _deposits(spark, sf):
         F.lit('/1"}},{"filename":"","links":{"download":"https://zenodo.org/f/'), s, F.lit('/two.csv"}},{"key":"none"}]}')).alias("body"))
     f = p.select(s.alias("deposit_id"), F.concat(
         F.lit('{"files":[{"name":"f.xlsx","size":7,"download_url":"https://figshare.com/f/'), s, F.lit('"}]}')).alias("body"))
-    m = p.select(F.concat(F.lit("m"), s).alias("deposit_id"), (k % 3).cast("string").alias("version"), F.concat(
-        F.lit('[{"filename":"a.csv","size":1,"content_details":{"download_url":"https://data.mendeley.com/f/'), s,
+    v = p.select(k, F.explode(F.array(F.lit("1"), F.lit("2"))).alias("version"))
+    m = v.select(F.concat(F.lit("m"), s).alias("deposit_id"), "version", F.concat(
+        F.lit('[{"filename":"a.csv","size":1,"content_details":{"download_url":"https://data.mendeley.com/f/'), s, F.lit("/"), F.col("version"),
         F.lit('"}}]')).alias("body"))
     return D.deposit_files(z, f, m)
 
 
+def _metadata(spark, sf):
+    """Of every second deposit, naming its fifth or second version."""
+    k = F.col("p_partkey").cast("string")
+    last = F.when(F.col("p_partkey") % 4 == 0, F.lit("5")).otherwise(F.lit("2"))
+    return read_table(spark, sf, "part").filter(F.col("p_partkey") % 2 == 0).select(
+        F.concat(F.lit("m"), k).alias("deposit_id"), F.concat(F.lit('{"doi":{"id":"10.17632/m'), k, F.lit("."), last, F.lit('"}}')).alias("body"))
+
+
 @register("x07_deposit_files", """
-SELECT 'zenodo' AS repo, p_partkey || '' AS deposit_id, 0 AS fo, 'https://zenodo.org/f/' || p_partkey || '/1' AS url,
+SELECT 'zenodo' AS repo, p_partkey || '' AS deposit_id, '' AS version, 0 AS fo, 'https://zenodo.org/f/' || p_partkey || '/1' AS url,
   'z' || p_partkey || '.csv' AS file_name, 10 AS size, 'zenodo_api' AS source FROM part
-UNION ALL SELECT 'zenodo', p_partkey || '', 1, 'https://zenodo.org/f/' || p_partkey || '/two.csv', 'two.csv', NULL, 'zenodo_api' FROM part
-UNION ALL SELECT 'figshare', p_partkey || '', 0, 'https://figshare.com/f/' || p_partkey, 'f.xlsx', 7, 'figshare_api' FROM part
-UNION ALL SELECT 'mendeley', 'm' || p_partkey || '.' || p_partkey % 3, 0, 'https://data.mendeley.com/f/' || p_partkey, 'a.csv', 1,
-  'mendeley_api' FROM part""")
+UNION ALL SELECT 'zenodo', p_partkey || '', '', 1, 'https://zenodo.org/f/' || p_partkey || '/two.csv', 'two.csv', NULL, 'zenodo_api' FROM part
+UNION ALL SELECT 'figshare', p_partkey || '', '', 0, 'https://figshare.com/f/' || p_partkey, 'f.xlsx', 7, 'figshare_api' FROM part
+UNION ALL SELECT 'mendeley', 'm' || p_partkey, v, 0, 'https://data.mendeley.com/f/' || p_partkey || '/' || v, 'a.csv', 1,
+  'mendeley_api' FROM part, (SELECT unnest(['1', '2']) AS v)""")
 def x07_deposit_files(spark, sf):
-    return _deposits(spark, sf).select("repo", "deposit_id", "fo", "url", "file_name", "size", "source")
+    return _deposits(spark, sf).select("repo", "deposit_id", "version", "fo", "url", "file_name", "size", "source")
 
 
 @register("x09_versions", """
 SELECT l_orderkey AS article_id, l_linenumber AS link_number, 'm' || l_partkey AS deposit_id,
-  CASE WHEN l_linenumber % 2 = 1 THEN l_linenumber || '' WHEN l_partkey % 2 = 0 THEN '5' ELSE '1' END AS version FROM lineitem""")
+  CASE WHEN l_linenumber % 2 = 1 THEN l_linenumber || '' WHEN l_partkey % 4 = 0 THEN '5' WHEN l_partkey % 2 = 0 THEN '2' ELSE '1' END AS version
+FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey FROM lineitem)""")
 def x09_versions(spark, sf):
     named = F.concat(F.lit("https://data.mendeley.com/datasets/m"), F.col("l_partkey").cast("string"),
                      F.when(F.col("l_linenumber") % 2 == 1, F.concat(F.lit("/"), F.col("l_linenumber").cast("string"))).otherwise(F.lit("")))
     links = read_table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("link_number"), named.alias("url"))
-    k = F.col("p_partkey").cast("string")
-    meta = read_table(spark, sf, "part").filter(F.col("p_partkey") % 2 == 0).select(
-        F.concat(F.lit("m"), k).alias("deposit_id"), F.concat(F.lit('{"doi":{"id":"10.17632/m'), k, F.lit('.5"}}')).alias("body"))
-    return D.mendeley_keys(links, meta, ["article_id", "link_number"]).select("article_id", "link_number", "deposit_id", "version")
+        F.col("l_partkey").alias("p"), F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("link_number"), named.alias("url")).distinct()
+    keys = D.mendeley_keys(links, _metadata(spark, sf), ["p", "article_id", "link_number"])
+    return keys.select("article_id", "link_number", "deposit_id", "version")
 
 
 @register("x11_files", """
 WITH l AS (SELECT DISTINCT l_orderkey AS article_id, l_linenumber AS link_number, l_partkey AS p FROM lineitem),
+v AS (SELECT *, CASE WHEN link_number = 4 THEN '2' WHEN p % 4 = 0 THEN '5' WHEN p % 2 = 0 THEN '2' ELSE '1' END AS version FROM l WHERE link_number IN (4, 5)),
 c AS (SELECT p, article_id, link_number, 0 AS o, 'https://ex.org/d/' || p || '.csv' AS url, p || '.csv' AS file_name, NULL AS size,
-        'direct_url' AS source FROM l WHERE link_number % 4 = 0
-      UNION ALL SELECT p, article_id, link_number, 0, 'https://zenodo.org/f/' || p || '/1', 'z' || p || '.csv', 10, 'zenodo_api' FROM l WHERE link_number % 4 = 1
-      UNION ALL SELECT p, article_id, link_number, 1, 'https://zenodo.org/f/' || p || '/two.csv', 'two.csv', NULL, 'zenodo_api' FROM l WHERE link_number % 4 = 1
-      UNION ALL SELECT p, article_id, link_number, 0, 'https://figshare.com/f/' || p, 'f.xlsx', 7, 'figshare_api' FROM l WHERE link_number % 4 = 2
+        'direct_url' AS source FROM l WHERE link_number = 6
+      UNION ALL SELECT p, article_id, link_number, 0, 'https://zenodo.org/f/' || p || '/1', 'z' || p || '.csv', 10, 'zenodo_api' FROM l WHERE link_number IN (1, 7)
+      UNION ALL SELECT p, article_id, link_number, 1, 'https://zenodo.org/f/' || p || '/two.csv', 'two.csv', NULL, 'zenodo_api' FROM l WHERE link_number IN (1, 7)
+      UNION ALL SELECT p, article_id, link_number, 0, 'https://figshare.com/f/' || p, 'f.xlsx', 7, 'figshare_api' FROM l WHERE link_number = 2
+      UNION ALL SELECT p, article_id, link_number, 0, 'https://data.mendeley.com/f/' || p || '/' || version, 'a.csv', 1, 'mendeley_api' FROM v WHERE version <> '5'
       UNION ALL SELECT p, article_id, link_number, i, 'https://ex.org/land/' || p || '/' || i, 'l' || i, NULL, 'html_link'
-        FROM l, (SELECT unnest(range(5)) AS i) WHERE link_number % 4 = 3)
+        FROM (SELECT p, article_id, link_number FROM l WHERE link_number = 3 UNION ALL SELECT p, article_id, link_number FROM v WHERE version = '5'),
+             (SELECT unnest(range(5)) AS i))
 SELECT p, article_id, link_number, CAST(o + 1 AS INT) AS file_index, url, file_name, size, source FROM c""")
 def x11_files(spark, sf):
-    """Files of links: direct, by repository, or from the landing page; all of them."""
+    """Files of links, all of them: direct, of the deposit and version that either spelling names, or from the landing page.
+
+    Line 4 names a version and is spelled as a page, then as a DOI; line 5 names none, so that it is the
+    metadata's (a fifth version isn't landed: its links fall back) or the first; lines 1 and 7 share a deposit.
+    """
     p, n = F.col("l_partkey").cast("string"), F.col("l_linenumber")
-    url = F.when(n % 4 == 0, F.concat(F.lit("https://ex.org/d/"), p, F.lit(".csv"))) \
-        .when(n % 4 == 1, F.concat(F.lit("https://zenodo.org/records/"), p)) \
-        .when(n % 4 == 2, F.concat(F.lit("https://figshare.com/articles/dataset/t/"), p)) \
+    page, doi = F.lit("https://data.mendeley.com/datasets/m"), F.lit("https://doi.org/10.17632/m")
+    url = F.when(n == 6, F.concat(F.lit("https://ex.org/d/"), p, F.lit(".csv"))) \
+        .when(n.isin(1, 7), F.concat(F.lit("https://zenodo.org/records/"), p)) \
+        .when(n == 2, F.concat(F.lit("https://figshare.com/articles/dataset/t/"), p)) \
+        .when(n == 4, F.concat(page, p, F.lit("/2"))).when(n == 5, F.concat(doi, p)) \
         .otherwise(F.concat(F.lit("https://ex.org/land/"), p))
+    resolved = F.when(n == 4, F.concat(doi, p, F.lit(".2"))).when(n == 5, F.concat(page, p)).otherwise(url)
     links = read_table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("p"), F.col("l_orderkey").alias("article_id"), n.alias("link_number"), url.alias("url"),
-        url.alias("resolved_url")).distinct()
+        resolved.alias("resolved_url")).distinct()
     i = F.col("file_ord").cast("string")
-    landing = links.select("p", "article_id", "link_number", "url", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("file_ord")).select(
-        "p", "article_id", "link_number", "file_ord", F.concat("url", F.lit("/"), i).alias("url"), F.concat(F.lit("l"), i).alias("file_name"),
+    page_of = F.concat(F.lit("https://ex.org/land/"), F.col("p").cast("string"), F.lit("/"), i)
+    landing = links.select("p", "article_id", "link_number", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("file_ord")).select(
+        "p", "article_id", "link_number", "file_ord", page_of.alias("url"), F.concat(F.lit("l"), i).alias("file_name"),
         F.lit(None).cast("long").alias("size"), F.lit("html_link").alias("source"))
-    return D.resolve_files(links, _deposits(spark, sf), landing, ["p", "article_id", "link_number"])
+    return D.resolve_files(links, _deposits(spark, sf), landing, ["p", "article_id", "link_number"], metadata=_metadata(spark, sf))
 
 
 @register("f16_landing", """
@@ -240,7 +259,7 @@ def f16_landing(spark, sf):
         F.when(t == "view", F.lit("text/HTML; charset=utf-8")).when(t == "click", F.lit("application/xhtml+xml"))
         .when(t == "error", F.lit("text/htmlx")).otherwise(F.lit("application/pdf")).alias("content_type"),
         F.when(k % 7 == 0, F.lit(5 * 1024 * 1024 + 1)).otherwise(5 * 1024 * 1024).alias("content_length"))
-    return D.usable_landing(landed).select("event_id")
+    return D.usable_landing(landed, max_bytes=K.LANDING_PAGE_MAX_BYTES).select("event_id")
 
 
 @register("f18_source_filter", f"""

@@ -34,15 +34,15 @@ def test_supplements_and_deposit_files(spark):
     dep = json.dumps({"files": [{"key": "a.csv", "links": {"self": "https://zenodo.org/api/f/a.csv"}},
                                 {"filename": "b.txt", "links": {"download": "https://zenodo.org/api/f/b"}},
                                 {"key": "c", "links": {}}]})
-    deposits = spark.createDataFrame([("zenodo", "123", dep)], "repo string, deposit_id string, body string")
-    files = zenodo_files(deposits, ["repo", "deposit_id"])
+    deposits = spark.createDataFrame([("zenodo", "123", "", dep)], "repo string, deposit_id string, version string, body string")
+    files = zenodo_files(deposits, ["repo", "deposit_id", "version"])
     assert [(r.url, r.file_name) for r in files.orderBy("fo").collect()] == \
         [("https://zenodo.org/api/f/a.csv", "a.csv"), ("https://zenodo.org/api/f/b", "b.txt")]
     links = spark.createDataFrame(
         [("art", 1, "https://doi.org/10.5281/zenodo.123", "https://zenodo.org/records/123"),
          ("art", 2, "https://ex.org/data.csv", "https://ex.org/data.csv")],
         "article_id string, link_number int, url string, resolved_url string")
-    got = resolve_files(links, files.withColumnRenamed("deposit_id", "deposit_id")).orderBy("link_number", "file_index")
+    got = resolve_files(links, files).orderBy("link_number", "file_index")
     assert [(r.link_number, r.file_index, r.url, r.source) for r in got.collect()] == [
         (1, 1, "https://zenodo.org/api/f/a.csv", "zenodo_api"), (1, 2, "https://zenodo.org/api/f/b", "zenodo_api"),
         (2, 1, "https://ex.org/data.csv", "direct_url")]
