@@ -1,7 +1,7 @@
 """Per-page markup parsing helper (runs inside Arrow-batched Spark tasks).
 
 A small tolerant tree builder on the stdlib ``html.parser``: void elements,
-implied end tags for p/li/tr/td/th/option, raw-text script/style (handled by
+implied end tags for p/li/tr/td/th/option, raw-text elements (handled by
 the tokenizer), stray end tags ignored, unclosed tags closed at EOF.  In
 XML mode (JATS) CDATA is text and no end tag is implied; tag names are
 lower-cased in both.  Only the selectors the extractors need are implemented:
@@ -21,6 +21,7 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset",
              "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
              "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
+_RAW_TEXT = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
 _CAPTION_SIBLINGS = {"p", "div", "h3", "h4", "span"}
 # ECMAScript whitespace (Python's \\s also has U+001C-1F and U+0085)
 _WS = re.compile("[\\t-\\r \\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]+")
@@ -81,6 +82,8 @@ class _Builder(HTMLParser):
     def __init__(self, xml: bool):
         super().__init__(convert_charrefs=True)
         self.xml = xml
+        if not xml:
+            self.CDATA_CONTENT_ELEMENTS = _RAW_TEXT
         self.root = Node("#root", {}, None)
         self.stack = [self.root]
         self.open = {}

@@ -330,6 +330,23 @@ def data_yield_rank(source, kind, title) -> Column:
             + F.when(_s(title).rlike(WB_BEFORE + "(?i:data(set)?)" + WB_AFTER), 1).otherwise(0))
 
 
+# A tag's attributes, quoted values included.  Possessive throughout, and a tag that never ends takes the rest of
+# the page with it, so that a page is read once.
+_ATTRIBUTES = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|)[^>=]*+)*+"""
+_RAW_TEXT = "script|style|textarea|title|xmp|iframe|noembed|noframes"
+_TABLE_TAGS = (r"(?is)<!--.*?(?:-->|\z)|<(" + _RAW_TEXT + r")(?=[\s/>])" + _ATTRIBUTES + r">.*?(?:</\1(?=[\s/>])|\z)"
+               r"|<(table)(?=[\s/>])" + _ATTRIBUTES + r">|</?+[a-z]" + _ATTRIBUTES + r"(?:>|\z)")
+
+
+def table_count(body) -> Column:
+    """How many table elements an HTML body opens, without building its tree.
+
+    Comments, raw-text elements and attribute values don't count.  JVM-side, so that a choice between
+    copies needs no parser and moves no body.
+    """
+    return F.size(F.filter(F.regexp_extract_all(_s(body), F.lit(_TABLE_TAGS), F.lit(2)), lambda t: t != ""))
+
+
 # -- C23 / C24 / C25 / C26 --------------------------------------------------------
 
 def extraction_status(attempted, loaded) -> Column:

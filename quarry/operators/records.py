@@ -34,14 +34,15 @@ def assemble_records(articles: DataFrame, tables: DataFrame, figures: DataFrame,
     articles may share, and serves as the key only where none is given.
     """
     key = key or article
+    given = [c for c in ("candidate_urls", "errors") if c in articles.columns]
     t = _nest(tables, key, "table_number", "tables")
     f = _nest(figures, key, "figure_number", "figures")
     ln = _nest(links, key, "link_number", "dataset_links")
     j = articles.join(t, key, "left").join(f, key, "left").join(ln, key, "left")
     empty = F.array()
     return j.select(
-        *articles.columns,
-        F.struct(F.col("attempted"), F.col("loaded"), F.col("mode"), F.col("final_url"),
+        *[c for c in articles.columns if c not in given],
+        F.struct(F.col("attempted"), F.col("loaded"), F.col("mode"), F.col("final_url"), *given,
                  F.coalesce(F.col("tables"), empty).alias("tables"),
                  F.coalesce(F.col("figures"), empty).alias("figures"),
                  F.coalesce(F.col("dataset_links"), empty).alias("dataset_links")).alias("extraction"),
@@ -49,8 +50,11 @@ def assemble_records(articles: DataFrame, tables: DataFrame, figures: DataFrame,
                        "value:string,status:string>>").alias("statistics"))
 
 
-def flatten_records(records: DataFrame, article: str = "article_id") -> DataFrame:
-    """Article row + table/figure/dataset_link/statistic rows in one explode."""
+def flatten_records(records: DataFrame, article: str = "article_id", key: str | None = None) -> DataFrame:
+    """Article row + table/figure/dataset_link/statistic rows in one explode.
+
+    ``key``, the column that tells records apart where slugs repeat, stays on every row.
+    """
     e = F.col("extraction")
     status = X.extraction_status(e["attempted"], e["loaded"])
     base = {
@@ -87,7 +91,8 @@ def flatten_records(records: DataFrame, article: str = "article_id") -> DataFram
         articleUrl=e["final_url"], caption=s["label"], text=s["value"],
         status=F.coalesce(s["status"], F.lit("extracted"))))
     all_rows = F.concat(F.array(art), tables, figures, links, stats)
-    return records.select(F.posexplode(all_rows).alias("record_ord", "r")).select("record_ord", "r.*")
+    kept = [key] if key else []
+    return records.select(*kept, F.posexplode(all_rows).alias("record_ord", "r")).select(*kept, "record_ord", "r.*")
 
 
 def extraction_summary(records: DataFrame) -> DataFrame:
@@ -124,19 +129,24 @@ def downloaded_links(flat: DataFrame) -> DataFrame:
     return flat.filter((F.col("evidenceType") == "dataset_link") & (F.col("status") == "downloaded"))
 
 
-def join_evidence(flat: DataFrame) -> DataFrame:
-    """Evidence rows joined to their article row (parentRecordId = recordId)."""
+def join_evidence(flat: DataFrame, key: str | None = None) -> DataFrame:
+    """Evidence rows joined to their article row (parentRecordId = recordId).
+
+    Slugs may be shared: with ``key`` (what ``flatten_records`` kept) each evidence row meets its own article only.
+    """
+    on = ["parentRecordId", *([key] if key else [])]
     art = flat.filter(F.col("recordType") == "article").select(
-        F.col("recordId").alias("parentRecordId"), F.col("title").alias("article_title"),
+        F.col("recordId").alias("parentRecordId"), *on[1:], F.col("title").alias("article_title"),
         F.col("status").alias("article_status"))
-    return flat.filter(F.col("recordType") == "evidence").join(art, "parentRecordId")
+    return flat.filter(F.col("recordType") == "evidence").join(art, on)
 
 
-def articles_with_data(flat: DataFrame) -> DataFrame:
-    """Article rows having at least one dataset link with downloaded files (left semi-join)."""
+def articles_with_data(flat: DataFrame, key: str | None = None) -> DataFrame:
+    """Article rows having at least one dataset link with downloaded files (left semi-join), by ``key`` where slugs repeat."""
+    on = ["recordId", *([key] if key else [])]
     has = flat.filter((F.col("evidenceType") == "dataset_link") & (F.col("file") != "")) \
-        .select(F.col("parentRecordId").alias("recordId"))
-    return flat.filter(F.col("recordType") == "article").join(has, "recordId", "left_semi")
+        .select(F.col("parentRecordId").alias("recordId"), *on[1:])
+    return flat.filter(F.col("recordType") == "article").join(has, on, "left_semi")
 
 
 def shared_deposits(links: DataFrame, article: str = "article_id") -> DataFrame:

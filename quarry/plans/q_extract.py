@@ -226,4 +226,4 @@ def a08_link_status(spark, sf):
     cands = _file_cands(spark, sf)
     outcomes = download_outcomes(cands, _file_responses(spark, sf))
     links = cands.select("link_id").distinct()
-    return link_status(links, outcomes, ["link_id"])
+    return link_status(links, outcomes, ["link_id"]).drop("files", "errors")
