@@ -16,9 +16,13 @@ from .scoring import let
 
 
 def expand_variants(keywords: DataFrame, max_variants: int | None = None,
-                    lexicon: Lexicon | None = None, keyword: str = "keyword", broad=None) -> DataFrame:
+                    lexicon: Lexicon | None = None, keyword: str = "keyword", broad=None,
+                    max_geography: int = 1, max_commodity: int = 2, max_measure: int = 3) -> DataFrame:
     """C28 per row, exploded: (…, variant_ord, variant).
 
+    A probe set takes at most one geography, two commodities and three measures, which is its definition;
+    the arguments change it.
+
     The scan and the facet hits are bound once (generator "let") before
     later steps read them several times.  All variants unless ``max_variants``.
     """
@@ -27,7 +31,8 @@ def expand_variants(keywords: DataFrame, max_variants: int | None = None,
     scanned = let(keywords, keyword_hits(F.col(keyword), lx).alias("_vh"))
     h = facet_hits(lx, F.col("_vh"))
     staged = let(scanned, h["geo"].alias("_vg"), h["com"].alias("_vc"), h["mea"].alias("_vm"))
-    v = variants_from_facets(F.col(keyword), F.col("_vg"), F.col("_vc"), F.col("_vm"), max_variants, broad)
+    v = variants_from_facets(F.col(keyword), F.col("_vg"), F.col("_vc"), F.col("_vm"), max_variants, broad, max_geography, max_commodity,
+                             max_measure)
     return staged.select(*cols, F.posexplode(v).alias("variant_ord", "variant"))
 
 

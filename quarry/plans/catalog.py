@@ -20,5 +20,5 @@ def register(name, oracle=None):
 
 
 def load_all():
-    from . import (q_articles, q_discover, q_extract, q_lexicon, q_normalise, q_pages, q_records, q_records_plan, q_scalars,  # noqa: F401
+    from . import (q_articles, q_discover, q_extract, q_io, q_lexicon, q_normalise, q_pages, q_records, q_records_plan, q_scalars,  # noqa: F401
                    q_search)

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where that is unset (tests, local mode) a temporary folder is made and set."""
+    """``spark.checkpoint.dir``; where that is unset a local session gets a temporary folder, and a cluster an error,
+    as executors wouldn't see each other's files."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="quarry-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

@@ -27,11 +27,17 @@ def keyword_lines(df: DataFrame, text: str, order: list[str]) -> DataFrame:
 
 
 def read_keywords(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
-    """(keyword_ord, keyword) from a keyword file; ``limit`` keeps the first N lines."""
+    """(keyword_ord, keyword) from keyword files; ``limit`` keeps the first N lines.
+
+    Several files are numbered on from one another, in the order of their paths: an ordinal is never given twice.
+    """
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     lines = keyword_lines(raw, "value", ["file"])
+    per_file = lines.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
+    before = per_file.select("file", (F.sum("_n").over(Window.orderBy("file")) - F.col("_n")).alias("_before"))
     w = Window.partitionBy("file").orderBy("line_no")
-    out = lines.select((F.row_number().over(w) - 1).alias("keyword_ord"), "keyword")
+    own = lines.withColumn("_at", F.row_number().over(w) - 1).join(before, "file")
+    out = own.select((F.col("_before") + F.col("_at")).cast("int").alias("keyword_ord"), "keyword")
     return out.filter(F.col("keyword_ord") < limit) if limit > 0 else out
 
 

@@ -34,10 +34,10 @@ CROSSREF_SCHEMA = f"""message STRUCT<items: ARRAY<STRUCT<title: ARRAY<STRING>, a
   `container-title`: ARRAY<STRING>, DOI: STRING, URL: STRING, published: {_DATE_PARTS},
   `published-print`: {_DATE_PARTS}, `published-online`: {_DATE_PARTS}>>>"""
 
-# publisher is an object ({"name": ...}) or a plain string: read as STRING,
-# which keeps an object as its JSON text.
+# publisher is an object ({"name": ...}) or a plain string: a VARIANT, which tells a string that looks like
+# an object from one.
 DATACITE_SCHEMA = """data ARRAY<STRUCT<attributes: STRUCT<titles: ARRAY<STRUCT<title: STRING>>,
-  descriptions: ARRAY<STRUCT<description: STRING, descriptionType: STRING>>, publisher: STRING,
+  descriptions: ARRAY<STRUCT<description: STRING, descriptionType: STRING>>, publisher: VARIANT,
   doi: STRING, publicationYear: STRING, url: STRING>>>"""
 
 ZENODO_SCHEMA = """hits STRUCT<hits: ARRAY<STRUCT<doi: STRING, links: STRUCT<self_html: STRING>,
@@ -123,8 +123,7 @@ def _datacite(it: Column) -> dict:
     abstract = F.coalesce(F.get(F.filter(descs, lambda x: x["descriptionType"] == "Abstract"), 0)["description"],
                           F.get(descs, 0)["description"])
     pub = a["publisher"]
-    journal = F.when(F.trim(pub).startswith("{"),
-                     F.coalesce(F.get_json_object(pub, "$.name"), pub)).otherwise(pub)
+    journal = F.coalesce(F.try_variant_get(pub, "$.name", "string"), F.try_variant_get(pub, "$", "string"))
     return {
         "title": strip_html(F.get(a["titles"], 0)["title"]),
         "abstract": strip_html(abstract),

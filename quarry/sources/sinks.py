@@ -1,4 +1,5 @@
-"""S07-S16 sinks. Every write is an atomic job commit with overwrite semantics.
+"""The article index's reader, and sinks. Every write is a job commit with overwrite semantics; a set of
+outputs is published by one manifest (S16).
 
 CSV: ``quote='"'``, ``escape='"'`` (doubled quotes), empty strings and
 nulls written as nothing, no whitespace trimming, header, fixed column
@@ -8,6 +9,8 @@ stay blank.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,11 +92,61 @@ def write_records_csv(flat: DataFrame, path: str, mode: str = "overwrite") -> No
     write_csv(flat, path, K.FLAT_RECORD_COLUMNS, mode)
 
 
-def read_articles(spark, path: str) -> DataFrame:
-    """The article index as written by ``write_articles_json`` (JSON lines) or as one JSON array.
+def read_articles(spark, path: str, corrupt: str = "fail") -> DataFrame:
+    """The article index, as JSON lines (``write_articles_json``) or as one JSON array, pretty-printed or not.
 
-    An explicit schema: nothing is inferred, and a missing path fails at once.
+    An explicit schema: nothing is inferred, and a missing path fails at once.  What isn't JSON fails the
+    read, or with ``corrupt="keep"`` stays as a row whose text is in ``corrupt_record``.
+    """
+    fields = [f"{c} {'int' if c == 'score' else 'string'}" for c in K.ARTICLE_JSON_COLUMNS]
+    keep = corrupt == "keep"
+    if keep:
+        fields.append("corrupt_record string")
+    first = spark.read.text(path).select(F.ltrim("value", F.lit(" \t\r\ufeff")).alias("v")).filter("v <> ''").head()
+    reader = spark.read.schema(", ".join(fields)).option("mode", "PERMISSIVE" if keep else "FAILFAST")
+    if keep:
+        reader = reader.option("columnNameOfCorruptRecord", "corrupt_record")
+    is_array = first is not None and first.v.startswith("[")
+    return reader.option("multiLine", is_array).json(path).withColumnRenamed("searchUrl", "search_url")
+
+
+# -- S16: one commit for a set of outputs ------------------------------------------------------
+
+def publish(spark, path: str, outputs: dict[str, DataFrame], rerun: DataFrame | None = None, key: str = "article_id") -> int:
+    """Write a set of outputs and make them current together; returns the set's number.
+
+    Every output is staged under a folder of its own set; a single-row manifest, committed last, names the
+    set.  A write that fails leaves the manifest, and so the set that readers see, as it was.  With ``rerun``
+    (a table of ``key`` values that were extracted again, evidence or none) the outputs hold only their rows,
+    and the present set's rows of all other keys are carried over.  One writer at a time.
     """
-    schema = ", ".join(f"{c} {'int' if c == 'score' else 'string'}" for c in K.ARTICLE_JSON_COLUMNS)
-    lines = spark.read.schema(schema).json(path)
-    return lines.withColumnRenamed("searchUrl", "search_url")
+    present = _manifest(spark, path)
+    number = (present["number"] if present else 0) + 1
+    at = f"{path.rstrip('/')}/sets/{number}-{uuid.uuid4().hex}"
+    for name, df in outputs.items():
+        if rerun is not None and present and name in present["names"]:
+            others = spark.read.parquet(f"{present['at']}/{name}").join(rerun.select(key).distinct(), key, "left_anti")
+            df = others.unionByName(df)
+        df.write.mode("error").parquet(f"{at}/{name}")
+    row = spark.createDataFrame([(number, at, sorted(outputs))], _MANIFEST)
+    row.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/manifest")
+    return number
+
+
+def published(spark, path: str, name: str) -> DataFrame:
+    """An output of the current set."""
+    present = _manifest(spark, path)
+    if present is None or name not in present["names"]:
+        raise ValueError(f"{path}: nothing published as {name}")
+    return spark.read.parquet(f"{present['at']}/{name}")
+
+
+_MANIFEST = "number long, at string, names array<string>"
+
+
+def _manifest(spark, path: str):
+    """The newest manifest row (one a set), or None."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/manifest")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return spark.read.schema(_MANIFEST).json(at.toString()).orderBy(F.col("number").desc()).first()
