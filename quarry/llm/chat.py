@@ -9,8 +9,8 @@ and unescaping is exact.
 Conversations are dealt by id, sorted by turn, and streamed a turn at a time, so that a long one
 takes no more memory than its longest turn; its digests are sequential by nature.
 
-Defined cases: a null text is empty and a null role has no name; a record of an unknown layout
-becomes one turn of role ``raw`` with the record as its text; turns with one number are ordered by
+Defined cases: a null text is empty and a null role has no name; a record of an unknown layout (an empty array of messages is none), or of more nested values than Python reads, becomes one turn of
+role ``raw`` with the record as its text; turns with one number are ordered by
 role and text, a null number first; rows with a null ``conv_id`` form one conversation; repeated
 rows are turns each; an empty table gives an empty one; further columns and fields are ignored.
 """
@@ -81,14 +81,18 @@ def _text(value) -> str:
 
 
 def turns_of(record: str | None) -> list[tuple[str, str]]:
-    """Canonical turns of one JSON record."""
+    """Canonical turns of one JSON record; one of no known layout, or nested too deep to read, is a raw turn."""
     try:
-        value = json.loads(record or "")
-    except ValueError:
+        return _known_turns(record or "")
+    except (ValueError, RecursionError):
         return [("raw", record or "")]
+
+
+def _known_turns(record: str) -> list[tuple[str, str]]:
+    value = json.loads(record)
     mapping = MAPPINGS.get(fingerprint(field_paths(value) & _KNOWN)) if isinstance(value, dict) else None
     if mapping is None:
-        return [("raw", record or "")]
+        raise ValueError("unknown layout")
     out: list[tuple[str, str]] = []
     for role, texts in mapping:
         if role == "*":
