@@ -24,6 +24,7 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarry.llm.common import chunks, rows_of, small_batches, stored
@@ -35,12 +36,50 @@ WEIGHT_CAP = 60.0
 #: Rows that a parent's distribution is worth in its child's.
 SMOOTHING = 5.0
 
-_DROPPED = re.compile(r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[!/?a-zA-Z][^>]*>", re.S | re.I)
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_OPENS = re.compile(r"<(?:(script|style|noscript|template)\b|(!--)|[!/?a-zA-Z])", re.I)
+_CLOSES = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template")}
+_ROOT = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
 
 
 def page_text(html: str | None) -> str:
-    return _html.unescape(_DROPPED.sub(" ", html or ""))
+    """The text between the tags, without scripts, styles and comments.
+
+    Linear: what a search didn't find up to the end isn't searched for again.  An element or comment that is
+    never closed loses its tag only.
+    """
+    html = html or ""
+    out, at, missing = [], 0, set()
+    while (mark := _OPENS.search(html, at)) and ">" not in missing:
+        end = -1
+        name = (mark[1] or mark[2] or "").lower()
+        if name and name not in missing:
+            if name == "!--":
+                end = html.find("-->", mark.end()) + 3 if html.find("-->", mark.end()) >= 0 else -1
+            elif found := _CLOSES[name].search(html, mark.end()):
+                end = found.end()
+            if end < 0:
+                missing.add(name)
+        if end < 0 and (end := html.find(">", mark.start() + 2) + 1) == 0:
+            missing.add(">")
+            break
+        out += [html[at : mark.start()], " "]
+        at = end
+    return _html.unescape("".join([*out, html[at:]]))
+
+
+def declared_language(html: str | None) -> str | None:
+    """The language that an html tag names."""
+    html = html or ""
+    at = 0
+    while root := _ROOT.search(html, at):
+        end = html.find(">", root.end())
+        if found := _LANG.search(html, root.end(), end if end >= 0 else len(html)):
+            return found[1].lower()
+        if end < 0:
+            return None
+        at = end
+    return None
 
 
 def gram_counts(text: str) -> np.ndarray:
@@ -61,8 +100,11 @@ def fit(docs: DataFrame, most_docs: int = MOST_DOCS) -> tuple[list[str], np.ndar
     spark = docs.sparkSession
     small_batches(spark)
     known = docs.filter("lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())  # as many rows as languages
-    ids = [(r["doc_id"], lang) for lang in langs for r in known.filter(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs).collect()]
+    # a row per sampled document: at most most_docs a language
+    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    first = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most_docs).select("doc_id", "lang")
+    ids = [tuple(r) for r in first.collect()]
+    langs = sorted({lang for _, lang in ids})
     if not ids:
         return [], np.zeros((BUCKETS, 0))
     chosen = F.broadcast(spark.createDataFrame(ids, "doc_id long, own string"))  # at most most_docs a language
@@ -76,8 +118,8 @@ def fit(docs: DataFrame, most_docs: int = MOST_DOCS) -> tuple[list[str], np.ndar
         yield from chunks(rows, pa.schema([("lang", pa.string()), ("counts", pa.binary())]))
 
     total = {lang: np.full(BUCKETS, 0.2) for lang in langs}
-    # a row per task and language; the sample is small, so its tasks are few
-    for r in sample.coalesce(16).mapInArrow(run, "lang string, counts binary").toLocalIterator():
+    # the scan keeps its tasks; only the sampled texts, bounded as their ids are, move to a few
+    for r in sample.repartition(16).mapInArrow(run, "lang string, counts binary").toLocalIterator():
         total[r["lang"]] += np.frombuffer(r["counts"], "<f8")
     return langs, np.stack([np.log(total[x] / total[x].sum()) for x in langs], axis=1)
 
@@ -92,8 +134,7 @@ def text_evidence(rows: DataFrame, langs: list[str], table: np.ndarray, markup:
         for batch in batches:
             declared, posterior = [], []
             for (text,) in rows_of([batch], "text"):
-                found = _DECLARED.search(text or "") if markup else None
-                declared.append(found[1].lower() if found else None)
+                declared.append(declared_language(text) if markup else None)
                 counts = gram_counts(page_text(text) if markup else text or "")
                 like = counts @ sent.value
                 like *= min(1.0, WEIGHT_CAP / max(1.0, counts.sum()))
