@@ -34,7 +34,34 @@ CLOSERS = {
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
 }
 
-_MARK = re.compile(r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_OPENS = re.compile(r"<(?:(!--)|([!?])|/?[a-zA-Z])")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>")
+#: A tag where quotes don't pair up any more.
+_UNPAIRED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+
+
+def marks(html: str):
+    """(start, end, closing slash, tag, attributes) of each tag; comments and declarations have tag ''.
+
+    Linear: from the first tag whose quotes never pair up, tags end at the next ``>``; without one, what
+    follows is text.
+    """
+    at, paired, n = 0, True, len(html)
+    while mark := _OPENS.search(html, at):
+        start = mark.start()
+        if mark[1] or mark[2]:
+            end = html.find("-->" if mark[1] else ">", mark.end())
+            at = n if end < 0 else end + (3 if mark[1] else 1)
+            at = (yield start, at, "", "", "") or at
+            continue
+        tag = _TAG.match(html, start) if paired else None
+        if tag is None:
+            paired = False
+            if (tag := _UNPAIRED.match(html, start)) is None:
+                return
+        at = (yield start, tag.end(), tag[1], tag[2].lower(), tag[3]) or tag.end()
+
+
 _ATTRIBUTE = re.compile(r"""(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 
@@ -148,34 +175,36 @@ class Page:
                     self.link_chars[home()] += len(text)
 
         at, n = 0, len(html)
-        while at < n:
-            mark = _MARK.search(html, at)
-            if mark is None:
-                put(html[at:])
+        found = marks(html)
+        go_on = None  # where the next mark is looked for, if not after the last
+        while True:
+            try:
+                start, end, slash, tag, attributes = found.send(go_on)
+            except StopIteration:
                 break
-            put(html[at : mark.start()])
-            at = mark.end()
-            if not mark[2]:
+            go_on = None
+            put(html[at:start])
+            at = end
+            if not tag:
                 continue
-            tag = mark[2].lower()
-            if mark[1]:
+            if slash:
                 if open_of.get(tag):
                     close({tag}, ended=True)
                 elif tag == "p" and not quiet:
                     flush()
                 continue
             if tag in RAW:
-                if not mark[3].rstrip().endswith("/"):
-                    end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(html, at)
-                    at = end.end() if end else n
+                if not attributes.rstrip().endswith("/"):
+                    closer = re.compile(f"</{re.escape(tag)}", re.I).search(html, at)
+                    at = go_on = html.find(">", closer.end()) + 1 or n if closer else n
                 continue
             if tag in QUIET:
-                if mark.start() in unclosed:
+                if start in unclosed:
                     label = label or not quiet
-                elif not mark[3].rstrip().endswith("/"):
+                elif not attributes.rstrip().endswith("/"):
                     stack.append((stack[-1][0], tag, stack[-1][2]))
                     open_of[tag] = open_of.get(tag, 0) + 1
-                    quiet.append(mark.start())
+                    quiet.append(start)
                 continue
             if tag == "br":
                 held.append(" ")
@@ -187,7 +216,7 @@ class Page:
                 for _ in range(len(CLOSERS[tag][0])):
                     close(CLOSERS[tag][0], QUIET | CLOSERS[tag][1])
             if quiet:
-                if tag not in VOID and not mark[3].endswith("/"):
+                if tag not in VOID and not attributes.endswith("/"):
                     stack.append((stack[-1][0], tag, stack[-1][2]))
                     open_of[tag] = open_of.get(tag, 0) + 1
                     in_link += tag == "a"
@@ -196,19 +225,20 @@ class Page:
             self.marks[block] += 1
             if tag in BLOCKS:
                 flush()
-                block = add(tag, block, _names(mark[3]))
+                block = add(tag, block, _names(attributes))
             elif self.tag[block] in ROOTS:
-                names = stack[-1][2] | _KNOWN.intersection(_names(mark[3]).union(_TOKEN.findall(tag)))
+                names = stack[-1][2] | _KNOWN.intersection(_names(attributes).union(_TOKEN.findall(tag)))
                 if tag == "a":
                     self.links[home()] += 1
                 if bare >= 0:
                     self.marks[bare] += 1
             elif tag == "a":
                 self.links[block] += 1
-            if tag not in VOID and not mark[3].endswith("/"):
+            if tag not in VOID and not attributes.endswith("/"):
                 stack.append((block, tag, names))
                 open_of[tag] = open_of.get(tag, 0) + 1
                 in_link += tag == "a"
+        put(html[at:])
         while len(stack) > 1:
             pop()
         flush()

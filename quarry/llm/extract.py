@@ -35,7 +35,8 @@ from quarry.llm.dom import LABEL as _LABEL
 from quarry.llm.trees import Boosted, boost
 
 MOST_PAGES = 300
-_MARKED = re.compile(r"<(article|main)\b[^>]*>(.*?)</\1\s*>", re.S | re.I)
+_OPENED = re.compile(r"<(article|main)\b", re.I)
+_CLOSED = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("article", "main")}
 _NOT_MAIN = [g for g in GROUPS if g not in ("main", "share")]
 
 
@@ -70,14 +71,29 @@ def _dressed(rng: random.Random, inside: str) -> str:
     return re.sub(r"<p>([^<]*)</p>", other, inside)
 
 
+def marked_article(html: str) -> tuple[str, str, str, str] | None:
+    """Tag, what stands before, inside and after the first article or main element that is closed; linear."""
+    at, missing = 0, set()
+    while (opened := _OPENED.search(html, at)) and len(missing) < len(_CLOSED):
+        name = opened[1].lower()
+        if (start := html.find(">", opened.end()) + 1) == 0:
+            return None
+        if name not in missing:
+            if closed := _CLOSED[name].search(html, start):
+                return opened[1], html[: opened.start()], html[start : closed.start()], html[closed.end() :]
+            missing.add(name)
+        at = opened.end()
+    return None
+
+
 def training_pages(html: str, rng: random.Random) -> list[str]:
     """The page with its article labelled, and changed copies of it."""
-    found = _MARKED.search(html)
+    found = marked_article(html)
     if found is None:
         return []
-    before, inside, after = html[: found.start()], found[2], html[found.end() :]
-    words = re.sub(r"<[^>]*>", " ", inside).split()[:400] or ["text"]
-    out = [f'{before}<{found[1]} class="{_LABEL}">{inside}</{found[1]}>{after}']
+    tag, before, inside, after = found
+    words = re.sub(r"<[^<>]*>", " ", inside).split()[:400] or ["text"]
+    out = [f'{before}<{tag} class="{_LABEL}">{inside}</{tag}>{after}']
     for _ in range(3):
         name = rng.choice(["article", "main", "div", "div", "section"])
         token = rng.choice(sorted(GROUPS["main"])) if rng.random() < 0.7 else ""
