@@ -15,9 +15,10 @@ the ``k`` best, T, the others rank by how far their cosine is above what they ne
 For vectors of one length that is the order of the footrule. Equal vectors of a shard are posted once
 and stand for all their ids, smallest first.
 
-Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, nor
-do those of another length than most of the pivots; a null ``vec_id`` takes no part; rows repeated
-with one ``vec_id`` and vector are one; ties go to the smaller id; fewer candidates than ``k`` give
+Defined cases: vectors that are null, zero, or hold null or non-finite components take no part; vectors
+are compared with those of as many components, for each number of which there is an index of its own;
+a null ``vec_id`` takes no part; rows repeated with one ``vec_id`` and vector are one, and a ``vec_id``
+with several vectors is one item, as near as its nearest pair; ties go to the smaller id; fewer candidates than ``k`` give
 all; an empty table gives an empty one; further columns are ignored.
 """
 
@@ -53,10 +54,7 @@ def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
     """``pivots`` different vectors, those with the least hashes, at length one."""
     some = vectors.groupBy("v").agg(F.min(F.xxhash64("vec_id")).alias("h")).orderBy("h").limit(pivots).collect()
     rows = [np.array(r["v"]) for r in some]
-    if not rows:
-        return np.zeros((0, 0))
-    length = max({len(r) for r in rows}, key=lambda n: (sum(len(r) == n for r in rows), n))
-    table = np.stack([r for r in rows if len(r) == length])
+    table = np.stack(rows)
     return table / np.abs(table).max(axis=1, keepdims=True) / np.linalg.norm(table / np.abs(table).max(axis=1, keepdims=True), axis=1, keepdims=True)
 
 
@@ -85,7 +83,7 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, shards: int, near: int =
         row = (key[0].as_py(), [ids for ids, _ in rows], x.tobytes(), ends.astype("<i4").tobytes(), members.astype("<i4").tobytes(), places.astype("<i2").tobytes())
         return pa.Table.from_batches(chunks([row], _SHARD_ARROW), schema=_SHARD_ARROW)
 
-    fit = vectors.filter(F.size("v") == pivots.shape[1]).withColumn("shard", F.expr(f"cast(pmod(xxhash64(vec_id), {shards}) as int)"))
+    fit = vectors.withColumn("shard", F.expr(f"cast(pmod(xxhash64(vec_id), {shards}) as int)"))
     return fit.groupBy("shard").applyInArrow(run, _SHARD)
 
 
@@ -117,6 +115,8 @@ def search_shard(row: tuple, queries: list[tuple], pivots: np.ndarray, near: int
     ends, members, places = np.frombuffer(ends, "<i4"), np.frombuffer(members, "<i4"), np.frombuffer(places, "<i2")
     firsts = np.r_[0, ends[:-1]]
     q = np.array([v for _, v in queries])
+    every_id = [i for own in ids for i in own]
+    repeated = len(set(every_id)) < len(every_id)  # an id with several vectors, all of them in this shard
     take = min(len(ids), max(LEAST, int(np.ceil(rerank * len(ids)))))
 
     def saved_by(order):
@@ -141,25 +141,42 @@ def search_shard(row: tuple, queries: list[tuple], pivots: np.ndarray, near: int
             margin = np.where(np.isfinite(needed), cosine - needed, cosine)
             some = np.union1d(some, np.argpartition(-margin, take - 1)[:take])
         scores = x[some] @ v
-        best = np.argpartition(-scores, k)[: k + 1] if k + 1 < len(some) else np.arange(len(some))
+        best = np.argpartition(-scores, k)[: k + 1] if k + 1 < len(some) and not repeated else np.arange(len(some))
         cut = scores[best].min()
         best = np.flatnonzero(scores >= cut)  # with all that tie with the last
-        found = [(-float(x[some[b]] @ v), vec) for b in best for vec in ids[some[b]][: k + 1] if vec != query]
-        for score, vec in sorted(found)[:k]:
-            yield query, vec, -score
+        each = slice(None) if repeated else slice(k + 1)
+        found = [(-float(x[some[b]] @ v), vec) for b in best for vec in ids[some[b]][each] if vec != query]
+        own: dict[int, float] = {}
+        for score, vec in sorted(found):
+            if len(own) < k:
+                own.setdefault(vec, -score)  # an id's nearest vector comes first
+        for vec, score in own.items():
+            yield query, vec, score
 
 
 def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVOTS, near: int = NEAR, rerank: float = 0.2) -> DataFrame:
-    """The contract's rows: for ids divisible by ``every``, the ``k`` nearest of all others found."""
+    """The contract's rows: for ids divisible by ``every``, the ``k`` nearest of all others found.
+
+    ``rerank`` = 1.0 scores every vector: the exact answer.
+    """
     spark = embeddings.sparkSession
     small_batches(spark)
     vectors = stored(usable(embeddings).dropDuplicates(["vec_id", "v"]), "vectors")
+    found = spark.createDataFrame([], "query_id long, vec_id long, score double")
+    # a table has one number of components, or a few
+    for r in vectors.groupBy(F.size("v").alias("n")).count().orderBy("n").collect():
+        found = found.unionByName(_nearest_of(vectors.filter(F.size("v") == r["n"]), every, k, pivots, near, rerank))
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # of ids with several vectors the nearest pair
+    best = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    return best.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest_of(vectors: DataFrame, every: int, k: int, pivots: int, near: int, rerank: float) -> DataFrame:
+    """(query_id, vec_id, score) of each shard's best among vectors of one number of components."""
+    spark = vectors.sparkSession
     piv = choose_pivots(vectors, pivots)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not len(piv):
-        return empty
     near = min(near, len(piv))
-    queries = vectors.filter((F.col("vec_id") % every == 0) & (F.size("v") == piv.shape[1])).withColumnRenamed("vec_id", "query_id")
+    queries = vectors.filter(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
     n, n_queries = vectors.count(), queries.count()
     shards, blocks = max(1, -(-n // SHARD)), max(1, -(-n_queries // BLOCK))
     index = stored(build_index(vectors, piv, shards, near), "permutations")
@@ -173,6 +190,4 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, pivots: int = P
 
     met = index.withColumn("block", F.explode(F.expr(f"sequence(0, {blocks - 1})")))
     asked = queries.withColumn("block", F.expr(f"cast(pmod(xxhash64(query_id, 3), {blocks}) as int)")).withColumn("shard", F.explode(F.expr(f"sequence(0, {shards - 1})")))
-    found = met.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
-    best = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return best.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return met.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
