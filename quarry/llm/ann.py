@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import chunks, rows_of, small_batches, stored
 
-PIVOTS, NEAR = 128, 64
+PIVOTS, NEAR = 512, 48
 #: Vectors of a shard, and queries of a block, on average.
 SHARD, BLOCK = 16384, 2048
 #: Vectors of a shard that are scored exactly at least.
