@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from quarry.llm.common import chunks, rows_of, small_batches, stored
 
 MOST_DOCS = 1500
+#: Parts into which a language's ids are dealt before the first are taken.
+PARTS = 256
 BUCKETS = 1 << 14
 #: A text's n-grams depend on each other: its log likelihood counts for this many at most.
 WEIGHT_CAP = 60.0
@@ -100,10 +102,12 @@ def fit(docs: DataFrame, most_docs: int = MOST_DOCS) -> tuple[list[str], np.ndar
     spark = docs.sparkSession
     small_batches(spark)
     known = docs.filter("lang is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    # a row per sampled document: at most most_docs a language
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    first = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most_docs).select("doc_id", "lang")
-    ids = [tuple(r) for r in first.collect()]
+    # a language's first ids of each part, then of those the first: a part holds no more than most_docs of them
+    first = known.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        order = W.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        first = first.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most_docs).drop("n")
+    ids = [(r["doc_id"], r["lang"]) for r in first.collect()]  # at most most_docs a language
     langs = sorted({lang for _, lang in ids})
     if not ids:
         return [], np.zeros((BUCKETS, 0))
