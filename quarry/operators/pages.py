@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import text as X
+from ..functions.urls import beyond_ascii_host, resolve_href
 from ..session import ship_package, small_batches
 
 TABLE_T = T.StructType([
@@ -228,6 +229,35 @@ def extract_figures(parsed: DataFrame, ids: list[str], pmcid: str | None = None)
                       F.col("f.graphic").alias("graphic"), F.coalesce(image, F.lit("")).alias("image_url"))
 
 
+# -- C30 ------------------------------------------------------------------------------
+
+def absolute_links(stored_anchors: DataFrame, href: str = "raw_href", base: str = "url", out: str = "url",
+                   foreign_hosts: bool = True) -> DataFrame:
+    """C30 over stored anchors: ``out`` = ``href`` resolved against ``base``; null where nothing can be resolved.
+
+    Built-in functions resolve every row; rows whose host goes beyond ASCII, which need IDNA, alone pass through
+    Python. ``foreign_hosts=False`` leaves those null, and the plan has no Python stage. The anchors are read
+    twice otherwise, so hand in a written table.
+    """
+    near = stored_anchors.withColumn("_url", resolve_href(F.col(href), F.col(base)))
+    if not foreign_hosts:
+        return near.withColumn(out, F.col("_url")).drop("_url")
+    ship_package(stored_anchors.sparkSession)
+    far = beyond_ascii_host(F.col(href), F.col(base))
+    names = stored_anchors.columns
+
+    def run(batches):
+        from quarry.functions.urls import resolve_url
+        for b in batches:
+            pairs = zip(b.column(names.index(href)).to_pylist(), b.column(names.index(base)).to_pylist())
+            urls = pa.array([resolve_url(h, at) for h, at in pairs], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, urls], names=[*names, "_url"])
+
+    foreign = stored_anchors.filter(far)
+    resolved = foreign.mapInArrow(run, T.StructType([*foreign.schema.fields, T.StructField("_url", T.StringType())]))
+    return near.filter(~far).unionByName(resolved).withColumn(out, F.col("_url")).drop("_url")
+
+
 # -- X06 / F12 / F13 / W07 ------------------------------------------------------------------
 
 def dataset_links(parsed: DataFrame, ids: list[str], hosts: list[str] | None = None) -> DataFrame:

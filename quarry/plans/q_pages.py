@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.pages import (dataset_links, extract_anchors, extract_figures, extract_tables,
+from ..operators.pages import (absolute_links, dataset_links, extract_anchors, extract_figures, extract_tables,
                                landing_files, parse_pages, parse_search_results, table_cells)
 from ..sources.tables import read_table
 from . import oracles as O
@@ -53,6 +53,32 @@ def x01_anchors(spark, sf):
     return extract_anchors(_parsed_pages(spark, sf), ["page_id"]).select("page_id", "ord", "raw_href", "text", "url")
 
 
+# how hrefs that stand for one URL are written, by the anchor's place in its page
+_HREF_FORMS = """CASE ord % 6 WHEN 0 THEN h
+  WHEN 1 THEN concat(upper(origin), CASE WHEN substr(origin, 1, 5) = 'https' THEN ':443' ELSE ':80' END, h)
+  WHEN 2 THEN concat('/x/%2E%2e', h, '/.') WHEN 3 THEN translate(h, '/', {backslash})
+  WHEN 4 THEN concat('?q=', substr(h, 2)) ELSE concat(substr(h, 2), '#', substr(h, 2)) END"""
+_ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)"
+
+
+@register("c30_absolute_urls", f"""
+WITH a AS (SELECT page_id, url, {_ORIGIN} AS origin, regexp_extract(url, '^([^?#]*)', 1) AS place, hrefs[i] AS h, i - 1 AS ord
+           FROM (SELECT *, generate_subscripts(hrefs, 1) AS i
+                 FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs FROM pages))),
+b AS (SELECT *, {_HREF_FORMS.format(backslash="chr(92)")} AS raw_href, {encode_path_sql('substr(h, 2)')} AS e FROM a)
+SELECT page_id, ord, raw_href,
+  CASE ord % 6 WHEN 2 THEN origin || '/' || e || '/' WHEN 4 THEN CASE WHEN place = origin THEN place || '/' ELSE place END || '?q=' || e
+    WHEN 5 THEN CASE WHEN place = origin THEN place || '/' ELSE regexp_extract(place, '^(.*/)', 1) END || e || '#' || e
+    ELSE origin || '/' || e END AS url
+FROM b""")
+def c30_absolute_urls(spark, sf):
+    pages = read_table(spark, sf, "pages", rebalance=True)
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)">'), F.lit(1))
+    anchors = pages.select("page_id", F.col("url").alias("page_url"), F.expr(_ORIGIN).alias("origin"), F.posexplode(hrefs).alias("ord", "h"))
+    anchors = anchors.select("page_id", "ord", "page_url", F.expr(_HREF_FORMS.format(backslash="char(92)")).alias("raw_href"))
+    return absolute_links(anchors, base="page_url", foreign_hosts=False).select("page_id", "ord", "raw_href", "url")
+
+
 # test host list / link words that occur in the corpus pages
 TEST_HOSTS = ["/de", "/the"]
 TEST_WORDS = ["the", "de"]
