@@ -8,8 +8,8 @@ Scale notes
   shares ``doi:10.5281/zenodo``) is reduced to one row per map task before
   the shuffle, so even a key holding a third of all rows never lands whole
   in one task.
-* ``rank`` is a range-partitioned global sort, numbered by partition offsets
-  (no single-partition window over the rows).
+* ``rank`` numbers rows in key-range buckets plus the buckets' offsets, in one
+  plan (no single-partition window over the rows, nothing run at build).
 """
 
 from __future__ import annotations
@@ -45,8 +45,8 @@ def keep_best(df: DataFrame, key: str = "dedupe_key", score: str = "score",
 def rank(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """``rank`` = 0, 1, ... by score desc, then title by Unicode collation, then arrival order."""
     order = [c for c in (order or ORDER_COLUMNS) if c in df.columns]
-    return numbered(df, [F.col("score").desc(), F.collate(F.col("title"), "UNICODE"), *[F.col(c) for c in order]],
-                    "rank")
+    return numbered(df, [(F.col("score"), True), (F.collate(F.col("title"), "UNICODE"), False),
+                         *[(F.col(c), False) for c in order]], "rank")
 
 
 def article_rows(df: DataFrame) -> DataFrame:

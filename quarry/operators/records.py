@@ -115,13 +115,13 @@ def extraction_summary(records: DataFrame) -> DataFrame:
 def substantial_tables(flat: DataFrame) -> DataFrame:
     """Table evidence, most rows first, numbered by ``rank`` (ties by record id)."""
     return numbered(flat.filter(F.col("evidenceType") == "table"),
-                    [F.col("rows").cast("int").desc(), F.col("recordId")], "rank")
+                    [(F.col("rows").cast("int"), True), (F.col("recordId"), False)], "rank")
 
 
 def thin_tables(flat: DataFrame) -> DataFrame:
     """Table evidence, fewest rows first (to spot layout tables), numbered by ``rank``."""
     return numbered(flat.filter(F.col("evidenceType") == "table"),
-                    [F.col("rows").cast("int").asc(), F.col("recordId")], "rank")
+                    [(F.col("rows").cast("int"), False), (F.col("recordId"), False)], "rank")
 
 
 def downloaded_links(flat: DataFrame) -> DataFrame:

@@ -29,18 +29,45 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """``df`` with ``name`` = 0, 1, ... in the given global order.
+def _sorts_before(a: Column, b: Column, down: list[bool]) -> Column:
+    """Whether key ``a`` comes before key ``b``: fields in turn, nulls first in ascending and last in descending fields."""
+    before = F.lit(False)
+    for k in reversed(range(len(down))):
+        x, y = (b[f"k{k}"], a[f"k{k}"]) if down[k] else (a[f"k{k}"], b[f"k{k}"])
+        less = F.coalesce(x < y, x.isNull() & y.isNotNull())
+        before = less | (x.eqNullSafe(y) & before)
+    return before
 
-    The sort is range-partitioned and written once; a row's number is its
-    place in its partition plus the rows of the partitions before, of which
-    there is one count each.  No task ever holds all rows.
+
+def numbered(df: DataFrame, by: list[tuple[Column, bool]], name: str) -> DataFrame:
+    """``df`` with ``name`` = 0, 1, ... in the global order of ``by``: pairs (key, descending).
+
+    One plan, of which nothing runs before the caller's action. Hashes of the keys choose a sample of bounded
+    size (the least hash of each of 16 cells a bucket, an aggregate combined map-side), whose quantiles are the
+    bounds of four buckets or more per shuffle partition; a row finds its bucket by bisection. A row's number is its place
+    in its bucket plus the rows of the buckets before. No task holds all rows, and bounds, counts and rows agree
+    however often the input is computed, as long as the input itself is the same each time. Rows equal in all
+    keys get neighbouring numbers, in any order. Keys must be hashable (no maps).
     """
-    place = F.monotonically_increasing_id()
-    rows = stored(df.orderBy(*order).withColumn("_at", place), "numbered")
-    part = F.shiftrightunsigned("_at", 33)
-    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    inside = F.col("_at").bitwiseAND((1 << 33) - 1)
-    return (rows.withColumn("_part", part).join(F.broadcast(before), "_part")
-            .withColumn(name, F.col("_before") + inside).drop("_part", "_at", "_before"))
+    spark = df.sparkSession
+    steps = 2 + (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    down = [d for _, d in by]
+    keyed = df.withColumn("_nb_key", F.struct(*[c.alias(f"k{i}") for i, (c, _) in enumerate(by)]))
+    key, hashed = F.col("_nb_key"), F.xxhash64("_nb_key")
+    order = [key[f"k{i}"].desc() if d else key[f"k{i}"].asc() for i, d in enumerate(down)]
+    cells = keyed.groupBy(F.shiftrightunsigned(hashed, 60 - steps).alias("cell")).agg(F.min_by(key, hashed).alias("_nb_key"))
+    place = F.row_number().over(Window.orderBy(*order))  # of at most 16 cells a bucket
+    every = cells.select(key, place.alias("n")).filter((F.col("n") % 16 == 0) & (F.col("n") < 16 << steps))
+    bounds = every.agg(F.array_sort(F.collect_list(F.struct("n", key))).getField("_nb_key")).scalar()
+
+    def step(low: Column, half: Column) -> Column:
+        bound = F.get(F.col("_nb_bounds"), low + half - 1)
+        return F.when(bound.isNotNull() & _sorts_before(bound, key, down), low + half).otherwise(low)
+
+    bucket = F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(steps))]), F.lit(0), step)
+    placed = keyed.withColumn("_nb_bounds", bounds).withColumn("_nb_part", bucket).drop("_nb_bounds")
+    counts = placed.groupBy("_nb_part").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("_nb_part", (F.sum("n").over(Window.orderBy("_nb_part")) - F.col("n")).alias("_nb_before"))
+    inside = placed.withColumn("_nb_in", F.row_number().over(Window.partitionBy("_nb_part").orderBy(*order)))
+    found = inside.join(F.broadcast(before), "_nb_part")  # a row a bucket
+    return found.withColumn(name, F.col("_nb_before") + F.col("_nb_in") - 1).drop("_nb_part", "_nb_key", "_nb_in", "_nb_before")

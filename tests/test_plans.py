@@ -1,10 +1,13 @@
 """What plans must not do: run jobs while a query is built, number rows in one task, lose order."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from quarry.operators.copies import attach_lookups, choose_copy, effective_copies, select_targets
 from quarry.operators.deposits import download_outcomes
-from quarry.operators.records import assemble_records
+from quarry.operators.discover import rank
+from quarry.operators.records import assemble_records, substantial_tables, thin_tables
 from quarry.plans.catalog import QUERIES, load_all
 from quarry.shared import numbered
 
@@ -14,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 def test_no_shuffle_runs_while_a_query_is_built(spark):
     load_all()
     tracker = spark.sparkContext.statusTracker()
-    for name in ("w02_keep_best", "discover_responses", "c28_variants", "x06_dataset_links"):
+    for name in ("w02_keep_best", "discover_responses", "c28_variants", "x06_dataset_links", "t01_rank", "t02_targets"):
         spark.sparkContext.setJobGroup(name, name)
         QUERIES[name](spark, SF)
         for job in tracker.getJobIdsForGroup(name):  # footers only
@@ -22,11 +25,55 @@ def test_no_shuffle_runs_while_a_query_is_built(spark):
     spark.sparkContext.setJobGroup("", "")
 
 
+def _jobs(spark, group, build):
+    spark.sparkContext.setJobGroup(group, group)
+    built = build()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("", "")
+    return built, jobs
+
+
+def test_numbering_runs_no_job_while_it_is_built(spark):
+    rows = [("t", "Zenodo", "dataset", k % 5, f"u{k}", k, "table", str(k % 7), f"r{k}") for k in range(90)]
+    df = spark.createDataFrame(rows, "title string, source string, kind string, score int, url string, item_ord int, "
+                                     "evidenceType string, rows string, recordId string")
+    for name, f in (("rank", rank), ("targets", select_targets), ("some", lambda d: select_targets(d, limit=3)),
+                    ("most", substantial_tables), ("fewest", thin_tables)):
+        built, jobs = _jobs(spark, f"number-{name}", lambda: f(df))  # noqa: B023
+        assert not jobs, name
+        built.collect()
+
+
 def test_numbered_over_partitions(spark):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("v")).repartition(7)
-    got = numbered(df, [F.col("v").desc()], "rank").collect()
+    got = numbered(df, [(F.col("v"), True)], "rank").collect()
     assert sorted((r["rank"], r.v) for r in got) == [(k, 999 - k) for k in range(1000)]
-    assert numbered(df.limit(0), [F.col("v")], "rank").collect() == []
+    assert numbered(df.limit(0), [(F.col("v"), False)], "rank").collect() == []
+
+
+def test_numbered_with_nulls_ties_and_a_hot_key(spark):
+    # a third of all rows share their first key, another key is null often, some rows are equal throughout
+    rng = random.Random(3)
+    rows = [(5 if rng.random() < 0.34 else rng.choice([None, *range(10)]), rng.choice([None, "a", "B", "b", "Z", "é", ""]), rng.choice([None, rng.random()]), k // 2)
+            for k in range(6000)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d int").repartition(5)
+    got = numbered(df, [(F.col("a"), True), (F.collate(F.col("b"), "UNICODE"), False), (F.col("c"), True), (F.col("d"), False)], "n")
+    assert got.columns == ["a", "b", "c", "d", "n"] and got.schema["n"].dataType.typeName() == "long"
+    want = [tuple(r) for r in df.orderBy(F.col("a").desc(), F.collate(F.col("b"), "UNICODE"), F.col("c").desc(), "d").collect()]
+    found = sorted((tuple(r) for r in got.collect()), key=lambda r: r[4])
+    assert [r[4] for r in found] == list(range(6000))
+    assert [r[:4] for r in found] == want
+
+
+def test_numbering_spreads_rows_over_tasks(spark):
+    df = spark.range(40000).select((F.col("id") % 3).alias("hot"), F.col("id"))
+    got = numbered(df, [(F.col("hot"), True), (F.col("id"), False)], "n")
+    part = got.groupBy(F.spark_partition_id()).count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # no small buckets put together
+    try:
+        assert max(r["count"] for r in part.collect()) < 40000 * 0.45
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_targets_are_numbered_and_unlimited(spark):
