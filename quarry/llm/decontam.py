@@ -240,11 +240,13 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = 10, near: int |
     """A row per document: n_words, the items with phrase matches, the matched spans of words, and
     the items with proximity matches (none unless ``near`` is given).
 
-    A block of items, at most about ``block_words`` words, goes to every task.
+    A block of items, at most about ``block_words`` words, goes to every task. Where there are several,
+    they follow each other, each a scan of the index whose hits are written before the next block is read:
+    the driver and the executors hold one block at a time.
     """
     spark = index.sparkSession
 
-    def searched(block: DataFrame, all_rows: bool) -> DataFrame:
+    def searched(block: DataFrame, all_rows: bool):
         sent = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in block.collect()])
 
         def run(batches):
@@ -253,11 +255,15 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = 10, near: int |
             rows = (hit for row in rows_of(batches, *_SEGMENT_ARROW.names) for hit in _search_segment(row, items, windows, near, all_rows))
             yield from chunks(rows, _HIT_ARROW)
 
-        return index.mapInArrow(run, _HIT)
+        return index.mapInArrow(run, _HIT), sent
 
     found = None
-    for k, block in enumerate(item_blocks(benchmark, block_words)):
-        part = searched(block, k == 0)
+    blocks = item_blocks(benchmark, block_words)
+    for k, block in enumerate(blocks):
+        part, sent = searched(block, k == 0)
+        if len(blocks) > 1:
+            part = stored(part, "hits")
+            sent.destroy()  # what was written is never computed again
         found = part if found is None else found.unionByName(part)
     names = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     by_row = found.groupBy("segment", "row").agg(F.max("doc_id").alias("doc_id"), F.max("text_crc").alias("text_crc"), F.max("n_words").alias("n_words"), names("items").alias("items"), names("near_items").alias("near_items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
