@@ -1,13 +1,21 @@
 """Quality classifier (operator 10): attention-based multiple-instance learning.
 
 A document is a bag of passages of ``PASSAGE`` bytes (its whole text, cut at no particular place). A
-passage's features are shares of bytes and of pairs of byte kinds, and how often its words recur. An
-encoder makes a vector of each, gated attention (tanh times sigmoid) weighs the passages, and the
-weighted vector is scored. Encoder, attention and scorer are learnt together from document labels.
+passage's features are shares of bytes and of pairs of byte kinds, how often its document's words recur,
+and the shares of common words, of pairs of common neighbours and of all rarer words together. The encoder
+gives each word and pair a vector of its own (its row of the first layer) and makes a vector of each
+passage; gated attention (tanh times sigmoid) weighs the passages, and the weighted vector is scored.
+Encoder, attention and scorer are learnt together from document labels.
+
+Words are runs of letters (bytes beyond ASCII count as such), A-Z lower-cased, known by 64-bit hashes, and
+belong to the passage they begin in; texts are read in slices of ``SLICE`` passages, and a word cut by a
+slice's edge is two. Common are the ``WORDS`` words and ``PAIRS`` pairs found in the most documents of the
+training sample, in ``SHARE`` of them and two at least.
 
 Training takes at most ``MOST_DOCS`` labelled documents, half of each label where there are so many,
 those with the least hashes; it never takes rows of the held-out fold (crc32 of the id, mod 5, is 0).
-It learns from all passages of a document it takes; the least hashes of both labels come first, and a
+Every ``EVERY``-th of those of label 1 also serves with the letters of each of its words shuffled, as label 0:
+what is made of no known words isn't good, whatever its letters. It learns from all passages of a document it takes; the least hashes of both labels come first, and a
 document that would bring the sample above ``MOST_PASSAGES`` is left out whole. Scoring reads every
 whole text.
 
@@ -19,7 +27,9 @@ an empty table gives an empty one; further columns are ignored.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import random
+import re
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +43,13 @@ MOST_DOCS = 4000
 #: Passages of all documents of the sample together, which the driver holds.
 MOST_PASSAGES = 100_000
 #: Passages whose bytes are counted at once.
-SLICE = 4096
+SLICE = 256
+#: Words and pairs of neighbours that have vectors of their own, and the least share of documents that hold one.
+WORDS, PAIRS, SHARE = 384, 128, 0.01
+#: What shares of words are multiplied by, so that words learn slower than the few plain features.
+SCALE = 0.03
+#: One in so many documents of label 1 has a shuffled copy; 0: none.
+EVERY = 8
 FOLDS = 5
 HIDDEN, GATE = 16, 8
 
@@ -42,27 +58,114 @@ for _k, _bytes in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQR
     _KIND[list(_bytes)] = _k
 _KIND[[b for b in range(128) if _KIND[b] == 7]] = 6  # other signs
 _SHOWN = np.minimum(np.arange(256), 128)
-N_FEATURES = 129 + 64 + 4
+N_PLAIN = 129 + 64 + 4
 
+_LETTER = np.zeros(256, dtype=np.uint64)  # what a letter adds to its word's hash; 0: no letter
+for _b in [*range(97, 123), *range(128, 256)]:
+    _LETTER[_b] = _b
+_LETTER[65:91] = _LETTER[97:123]
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = np.multiply.accumulate(np.r_[np.uint64(1), np.full(SLICE * PASSAGE - 1, _BASE, dtype=np.uint64)])
+_INVERSE = np.multiply.accumulate(np.r_[np.uint64(1), np.full(SLICE * PASSAGE - 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)])
 
-def passage_features(text: str | None) -> np.ndarray:
-    """(passages, features) of the whole text."""
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
+
+
+def hashed_words(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a slice begin, their hashes, and the hashes of pairs of neighbours."""
+    letter = _LETTER[part]
+    edge = np.flatnonzero(np.diff(np.r_[False, letter > 0, False]))
+    starts, ends = edge[::2], edge[1::2]
+    sums = np.r_[np.uint64(0), np.cumsum(letter * _POWERS[: len(part)])]
+    h = (sums[ends] - sums[starts]) * _INVERSE[starts]
+    return starts, _mixed(h), _mixed(h[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[1:])
+
+
+@dataclass
+class Vocabulary:
+    """Ascending hashes of the common words and pairs."""
+
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+
+    @property
+    def size(self) -> int:
+        return len(self.words) + 1 + len(self.pairs)
+
+
+NO_WORDS = Vocabulary()
+
+
+def _places(common: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Each hash's place among the common ones, or their number."""
+    if not len(common):
+        return np.zeros(len(hashes), dtype=np.int64)
+    at = np.searchsorted(common, hashes)
+    return np.where(common[np.minimum(at, len(common) - 1)] == hashes, at, len(common))
+
+
+def word_counts(part: np.ndarray, n: int, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(n, words + 1) and (n, pairs + 1): how often a slice's passages hold each, the rarer ones last."""
+    starts, words, pairs = hashed_words(part)
+    of, out = starts // PASSAGE, []
+    for common, hashes in ((vocabulary.words, words), (vocabulary.pairs, pairs)):
+        wide = len(common) + 1
+        out.append(np.bincount(of[: len(hashes)] * wide + _places(common, hashes), minlength=n * wide).reshape(n, wide))
+    return out[0], out[1]
+
+
+def sliced(text: str | None):
+    """(bytes, passages) of a text's slices; an empty text has one passage."""
     data = np.frombuffer((text or "").encode(), dtype=np.uint8)
-    n = max(1, -(-len(data) // PASSAGE))
-    shown, pair = np.zeros((n, 129), dtype=np.float32), np.zeros((n, 64), dtype=np.float32)
-    for first in range(0, n, SLICE):  # some passages at a time, so that long texts need no more memory than their features
-        last = min(n, first + SLICE)
-        part = data[first * PASSAGE : last * PASSAGE]
-        of, m = np.arange(len(part)) // PASSAGE, last - first
-        size = np.maximum(np.bincount(of, minlength=m), 1)[:, None]
-        shown[first:last] = np.bincount(of * 129 + _SHOWN[part], minlength=m * 129).reshape(m, 129) / size
-        kind = _KIND[data[max(0, first * PASSAGE - 1) : last * PASSAGE]]
-        second = of[len(of) - len(kind) + 1 :]
-        pair[first:last] = np.bincount(second * 64 + kind[:-1] * 8 + kind[1:], minlength=m * 64).reshape(m, 64) / size
+    for first in range(0, max(1, len(data)), SLICE * PASSAGE):
+        part = data[first : first + SLICE * PASSAGE]
+        yield part, max(1, -(-len(part) // PASSAGE))
+
+
+def feature_slices(text: str | None, vocabulary: Vocabulary = NO_WORDS):
+    """(passages, features) of some passages at a time, so that long texts need little memory."""
     words = (text or "").split()
     lines = [x for x in (text or "").split("\n") if x]
     whole = [len(set(words)) / max(1, len(words)), len(set(lines)) / max(1, len(lines)), np.log1p(len(words)) / 10, sum(map(len, words)) / max(1, len(words)) / 20]
-    return np.hstack([np.sqrt(shown), np.sqrt(pair), np.tile(whole, (n, 1))]).astype(np.float32)
+    before = np.zeros(0, dtype=np.uint8)
+    for part, n in sliced(text):
+        of = np.arange(len(part)) // PASSAGE
+        size = np.maximum(np.bincount(of, minlength=n), 1)[:, None]
+        shown = np.bincount(of * 129 + _SHOWN[part], minlength=n * 129).reshape(n, 129) / size
+        kind = _KIND[np.r_[before, part]]
+        second = of[len(of) - len(kind) + 1 :]
+        pair = np.bincount(second * 64 + kind[:-1] * 8 + kind[1:], minlength=n * 64).reshape(n, 64) / size
+        common, neighbours = (c / np.maximum(c.sum(1, keepdims=True), 1) for c in word_counts(part, n, vocabulary))
+        yield np.hstack([np.sqrt(shown), np.sqrt(pair), np.tile(whole, (n, 1)), SCALE * np.sqrt(common), SCALE * np.sqrt(neighbours[:, :-1])]).astype(np.float32)
+        before = part[-1:]
+
+
+def passage_features(text: str | None, vocabulary: Vocabulary = NO_WORDS) -> np.ndarray:
+    """(passages, features) of the whole text."""
+    return np.concatenate(list(feature_slices(text, vocabulary)))
+
+
+@dataclass
+class Bag:
+    """A document's features, those of words sparse; ``np.asarray`` fills them in."""
+
+    plain: np.ndarray
+    words: int
+    places: np.ndarray
+    values: np.ndarray
+    #: The document's copy with shuffled words, where it has one.
+    shuffled: Bag | None = None
+
+    def __len__(self):
+        return len(self.plain)
+
+    def __array__(self, dtype=None, copy=None):
+        filled = np.zeros((len(self.plain), self.words), dtype=np.float32)
+        filled.ravel()[self.places] = self.values
+        return np.hstack([self.plain.astype(np.float32), filled]).astype(dtype or np.float32, copy=False)
 
 
 @dataclass
@@ -71,21 +174,37 @@ class Model:
 
     weights: dict[str, np.ndarray]
     base: float = 1.0
+    vocabulary: Vocabulary = field(default_factory=Vocabulary)
 
     def bag(self, x: np.ndarray) -> tuple[float, np.ndarray]:
         """Score and attention of one document's passages."""
         if not self.weights:
             return self.base, np.full(len(x), 1 / len(x))
-        scores, attention = _forward(self.weights, x, np.zeros(len(x), dtype=np.int64), 1)[:2]
-        return float(scores[0]), attention
+        return self._pooled([x])
 
+    def text(self, text: str | None) -> float:
+        """Score of a whole text; of its passages only their vectors are held together."""
+        return self._pooled(feature_slices(text, self.vocabulary))[0] if self.weights else self.base
 
-def _forward(w, x, bag, n_bags):
-    """bag: the passages' bags, ascending; every bag has a passage."""
+    def _pooled(self, slices) -> tuple[float, np.ndarray]:
+        w = self.weights
+        h, raw = (np.concatenate(x) for x in zip(*(_encoded(w, x)[1:5:3] for x in slices), strict=True))
+        attention = np.exp(raw - raw.max())
+        attention /= attention.sum()
+        return float(1 / (1 + np.exp(-(attention @ h @ w["o"] + w["b"])))), attention
+
+
+def _encoded(w, x):
+    """Standardised features, vectors, the two gates and the attention before its softmax, of passages."""
     z = (x - w["mean"]) / w["std"]
     h = np.tanh(z @ w["E"] + w["e"])
     t, g = np.tanh(h @ w["V"]), 1 / (1 + np.exp(-(h @ w["U"])))
-    raw = (t * g) @ w["a"]
+    return z, h, t, g, (t * g) @ w["a"]
+
+
+def _forward(w, x, bag, n_bags):
+    """bag: the passages' bags, ascending; every bag has a passage."""
+    z, h, t, g, raw = _encoded(w, x)
     starts = np.searchsorted(bag, np.arange(n_bags))
     raw = np.exp(raw - np.maximum.reduceat(raw, starts)[bag])
     attention = raw / np.add.reduceat(raw, starts)[bag]
@@ -95,14 +214,20 @@ def _forward(w, x, bag, n_bags):
 
 
 def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: int = 0) -> Model:
-    """Adam on the log loss, both labels weighing the same at first and their true share at last."""
+    """Adam on the log loss, both labels weighing the same at first and their true share at last.
+
+    Bags' shuffled copies are learnt as label 0.
+    """
     share = float(labels.mean()) if len(labels) else 1.0
     if not 0 < share < 1:
         return Model({}, share)
+    copies = [x.shuffled for x in bags if isinstance(x, Bag) and x.shuffled is not None]
+    bags, labels = [*bags, *copies], np.concatenate([labels, np.zeros(len(copies))])
     rng = np.random.default_rng(seed)
     n = sum(map(len, bags))  # bag by bag, so that the passages aren't held twice
-    mean = sum(x.sum(0, dtype=np.float64) for x in bags) / n
-    w = {"mean": mean, "std": np.sqrt(sum(((x - mean) ** 2).sum(0) for x in bags) / n) + 0.02}
+    mean = sum(np.asarray(x).sum(0, dtype=np.float64) for x in bags) / n
+    w = {"mean": mean, "std": np.sqrt(sum(((np.asarray(x) - mean) ** 2).sum(0) for x in bags) / n) + 0.02}
+    w = {k: x.astype(np.float32) for k, x in w.items()}
     d = len(mean)
     w |= {"E": rng.normal(0, d**-0.5, (d, HIDDEN)), "e": np.zeros(HIDDEN), "V": rng.normal(0, 0.3, (HIDDEN, GATE)), "U": rng.normal(0, 0.3, (HIDDEN, GATE)), "a": rng.normal(0, 0.3, GATE), "o": rng.normal(0, 0.3, HIDDEN), "b": np.zeros(())}
     learnt = ["E", "e", "V", "U", "a", "o", "b"]
@@ -112,7 +237,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: in
         order = rng.permutation(len(bags))
         for at in range(0, len(order), 64):
             own = order[at : at + 64]
-            x = np.concatenate([bags[k] for k in own]).astype(np.float64)
+            x = np.concatenate([np.asarray(bags[k], dtype=np.float32) for k in own])
             bag = np.repeat(np.arange(len(own)), [len(bags[k]) for k in own])
             score, attention, (z, h, t, g, m, starts) = _forward(w, x, bag, len(own))
             up = (score - labels[own]) / len(own)
@@ -134,6 +259,12 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: in
     return Model(w, share)
 
 
+def shuffled_words(text: str) -> str:
+    """The text with the letters of each word in another order, the same one every time."""
+    rng = random.Random(text)
+    return re.sub(r"[^\W\d_]+", lambda word: "".join(rng.sample(word[0], len(word[0]))), text)
+
+
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
@@ -149,7 +280,7 @@ def whole_bags(sizes: dict[int, int], order: list[list[int]], most_passages: int
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_passages: int = MOST_PASSAGES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_passages: int = MOST_PASSAGES, every: int = EVERY) -> Model:
     """Learn from the bounded sample; only its features reach the driver."""
     small_batches(docs.sparkSession)
     known = labels.filter("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("y"), F.max("quality").alias("y1"))
@@ -158,24 +289,61 @@ def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_pas
     short = min(len(by_hash[0]), len(by_hash[1]))
     take = [min(len(r), max(most_docs // 2, most_docs - short)) for r in by_hash]
     order = [[r["doc_id"] for r in rows[:n]] for rows, n in zip(by_hash, take, strict=True)]
+    twice = set(order[1][::every]) if every else set()
     y_of = {d: y for y, ids in enumerate(order) for d in ids}
     chosen = docs.sparkSession.createDataFrame([(k,) for k in sorted(y_of)], "doc_id long")
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # at most most_docs ids
+    sample = stored(sample.groupBy("doc_id").agg(F.min("text").alias("text")), "sample")
+    vocabulary = learn_words(sample)
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
         for batch in batches:
             out = []
             for doc, text in rows_of([batch], "doc_id", "text"):
-                x = passage_features(text)
-                out.append((doc, len(x), x.astype("<f2").tobytes()))
-            columns = [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "x"])
+                for copy in (False, True) if doc in twice else (False,):
+                    x = passage_features(shuffled_words(text or "") if copy else text, sent.value)
+                    words = x[:, N_PLAIN:].ravel()
+                    places = np.flatnonzero(words)
+                    out.append((doc, copy, len(x), x[:, :N_PLAIN].astype("<f2").tobytes(), places.astype("<i4").tobytes(), words[places].astype("<f2").tobytes()))
+            columns = [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "n", "x", "places", "words"])
+
+    found = stored(sample.mapInArrow(run, "doc_id long, copy boolean, n long, x binary, places binary, words binary"), "bags")
+    sizes = found.groupBy("doc_id").agg(F.sum("n").alias("n")).collect()
+    fits = whole_bags({r["doc_id"]: r["n"] for r in sizes}, order, most_passages)
+    fitting = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in sorted(fits)], "doc_id long"))
+    bags = {
+        (r["doc_id"], r["copy"]): Bag(np.frombuffer(r["x"], "<f2").reshape(-1, N_PLAIN), vocabulary.size, np.frombuffer(r["places"], "<i4"), np.frombuffer(r["words"], "<f2"))
+        for r in found.join(fitting, "doc_id", "left_semi").toLocalIterator()
+    }
+    ids = sorted(doc for doc, copy in bags if not copy)
+    for doc in ids:
+        bags[doc, False].shuffled = bags.get((doc, True))
+    model = train([bags[doc, False] for doc in ids], np.array([y_of[d] for d in ids], dtype=np.float64))
+    model.vocabulary = vocabulary
+    return model
+
+
+def learn_words(sample: DataFrame) -> Vocabulary:
+    """The words and pairs that the most documents hold; counts are a grouped aggregate."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for (text,) in rows_of([batch], "text"):
+                _, words, pairs = zip(*(hashed_words(part) for part, _ in sliced(text)), strict=True)
+                out.append([np.unique(np.concatenate(x)) for x in (words, pairs)])
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.list_(pa.int64())) for k in (0, 1)], names=["words", "pairs"])
+
+    held = sample.mapInArrow(run, "words array<long>, pairs array<long>")
+    least = max(2, SHARE * sample.count())
+
+    def common(column, most):
+        counts = held.select(F.explode(column).alias("h")).groupBy("h").count().filter(F.col("count") >= least)
+        return np.array(sorted(r["h"] for r in counts.orderBy(F.desc("count"), "h").limit(most).collect()), dtype=np.int64)
 
-    found = stored(sample.mapInArrow(run, "doc_id long, n long, x binary").dropDuplicates(["doc_id"]), "bags")
-    fits = set(whole_bags({r["doc_id"]: r["n"] for r in found.select("doc_id", "n").collect()}, order, most_passages))
-    bag_of = {r["doc_id"]: np.frombuffer(r["x"], "<f2").reshape(-1, N_FEATURES) for r in found.select("doc_id", "x").toLocalIterator() if r["doc_id"] in fits}
-    ids = sorted(bag_of)
-    return train([bag_of[d] for d in ids], np.array([y_of[d] for d in ids], dtype=np.float64))
+    return Vocabulary(common("words", WORDS), common("pairs", PAIRS))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
@@ -187,7 +355,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            scores = [sent.value.bag(passage_features(t))[0] for (t,) in rows_of([batch], "text")]
+            scores = [sent.value.text(t) for (t,) in rows_of([batch], "text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), pa.array(scores, pa.float64())], names=[*own, "score"])
 
     scored = docs.mapInArrow(run, docs.withColumn("score", F.lit(0.0)).schema)

@@ -1,6 +1,7 @@
 """The learnt operators: held-out accuracy and awkward rows."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -191,3 +192,37 @@ def test_extraction_without_marked_pages(spark):
     assert extract.fit(rows) is None
     assert [r.text for r in extract.extract(rows, None).collect()] == ["b\n\nc"]
     assert "fallback_odds" in extract.__doc__
+
+
+def test_words_are_known_by_their_letters(monkeypatch):
+    """Hashes tell words apart as a regular expression does, and pairs are neighbours; slices don't change features."""
+    text = "The the THE, über ÜBER; a1b x\ny the a " + "é" * 300 + " end"
+    starts, words, pairs = quality.hashed_words(np.frombuffer(text.encode(), dtype=np.uint8))
+    found = [(m.start(), m[0].lower()) for m in re.finditer(rb"[A-Za-z\x80-\xff]+", text.encode())]
+    assert starts.tolist() == [at for at, _ in found]
+    assert len(set(words.tolist())) == len({w for _, w in found})
+    names = [w for _, w in found]
+    assert all((a == b) == (x == y) for a, x in zip(words.tolist(), names, strict=True) for b, y in zip(words.tolist(), names, strict=True))
+    assert len(set(pairs.tolist())) == len(set(zip(names, names[1:], strict=False))) and len(pairs) == len(words) - 1
+    for part in ("", "1 2", "x"):
+        assert len(quality.hashed_words(np.frombuffer(part.encode(), dtype=np.uint8))[1]) == (part == "x")
+    common = quality.Vocabulary(np.unique(words)[:5], np.unique(pairs)[:5])
+    long = "word by word it goes, on and on ------- " * 100  # 40 bytes; a slice of 5 passages ends with one of its texts
+    whole = quality.passage_features(long, common)
+    monkeypatch.setattr(quality, "SLICE", 5)
+    assert np.allclose(quality.passage_features(long, common), whole, atol=0.06) and whole.shape[1] == quality.N_PLAIN + common.size
+    model = quality.train([quality.passage_features(t, common) for t in (long, "a b")], np.array([1.0, 0.0]))
+    model.vocabulary = common
+    assert abs(model.text(long) - model.bag(quality.passage_features(long, common))[0]) < 1e-9
+
+
+def test_quality_knows_words(spark):
+    """Prose whose words have their letters shuffled is no prose, as it has no common words."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    rng = random.Random(0)
+    mixed = lambda m: "".join(rng.sample(m[0], len(m[0])))
+    good = [r.text for r in docs.join(labels.filter("quality = 1"), "doc_id").collect() if len(r.text or "") > 300]
+    before = [model.text(t) >= 0.3 for t in good]
+    after = [model.text(re.sub(r"[^\W\d_]+", mixed, t)) >= 0.3 for t in good]
+    assert len(good) > 50 and np.mean(before) > 0.97 and np.mean(after) < 0.3
