@@ -14,9 +14,9 @@ training sample, in ``SHARE`` of them and two at least.
 
 Training takes at most ``MOST_DOCS`` labelled documents, half of each label where there are so many,
 those with the least hashes; it never takes rows of the held-out fold (crc32 of the id, mod 5, is 0).
-Every ``EVERY``-th of those of label 1 also serves with the letters of each of its words shuffled, as label 0:
-what is made of no known words isn't good, whatever its letters. It learns from all passages of a document it takes; the least hashes of both labels come first, and a
-document that would bring the sample above ``MOST_PASSAGES`` is left out whole. Scoring reads every
+For every ``EVERY`` documents of label 0 one of label 1 also serves with the letters of each of its words shuffled,
+as label 0: what is made of no known words isn't good, whatever its letters. It learns from all passages of a document it takes; the least hashes of both labels come first, and a
+document that would bring the sample above ``MOST_PASSAGES`` is left out whole (shuffled copies: a tenth of that besides). Scoring reads every
 whole text.
 
 Defined cases: a null or empty text is one passage without bytes; a null ``doc_id`` is scored and not
@@ -48,8 +48,8 @@ SLICE = 256
 WORDS, PAIRS, SHARE = 384, 128, 0.01
 #: What shares of words are multiplied by, so that words learn slower than the few plain features.
 SCALE = 0.03
-#: One in so many documents of label 1 has a shuffled copy; 0: none.
-EVERY = 8
+#: For so many documents of label 0 there is one shuffled copy of a document of label 1; 0: none.
+EVERY = 4
 FOLDS = 5
 HIDDEN, GATE = 16, 8
 
@@ -229,7 +229,8 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 30, seed: in
     w = {"mean": mean, "std": np.sqrt(sum(((np.asarray(x) - mean) ** 2).sum(0) for x in bags) / n) + 0.02}
     w = {k: x.astype(np.float32) for k, x in w.items()}
     d = len(mean)
-    w |= {"E": rng.normal(0, d**-0.5, (d, HIDDEN)), "e": np.zeros(HIDDEN), "V": rng.normal(0, 0.3, (HIDDEN, GATE)), "U": rng.normal(0, 0.3, (HIDDEN, GATE)), "a": rng.normal(0, 0.3, GATE), "o": rng.normal(0, 0.3, HIDDEN), "b": np.zeros(())}
+    plain = rng.normal(0, N_PLAIN**-0.5, (N_PLAIN, HIDDEN))  # words start without a say
+    w |= {"E": np.vstack([plain, np.zeros((d - N_PLAIN, HIDDEN))]), "e": np.zeros(HIDDEN), "V": rng.normal(0, 0.3, (HIDDEN, GATE)), "U": rng.normal(0, 0.3, (HIDDEN, GATE)), "a": rng.normal(0, 0.3, GATE), "o": rng.normal(0, 0.3, HIDDEN), "b": np.zeros(())}
     learnt = ["E", "e", "V", "U", "a", "o", "b"]
     first, second, step = {k: np.zeros_like(w[k]) for k in learnt}, {k: np.zeros_like(w[k]) for k in learnt}, 0
     for epoch in range(epochs):
@@ -289,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_pas
     short = min(len(by_hash[0]), len(by_hash[1]))
     take = [min(len(r), max(most_docs // 2, most_docs - short)) for r in by_hash]
     order = [[r["doc_id"] for r in rows[:n]] for rows, n in zip(by_hash, take, strict=True)]
-    twice = set(order[1][::every]) if every else set()
+    twice = set(order[1][: len(order[0]) // every]) if every else set()
     y_of = {d: y for y, ids in enumerate(order) for d in ids}
     chosen = docs.sparkSession.createDataFrame([(k,) for k in sorted(y_of)], "doc_id long")
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id", "left_semi")  # at most most_docs ids
@@ -310,8 +311,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_pas
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "n", "x", "places", "words"])
 
     found = stored(sample.mapInArrow(run, "doc_id long, copy boolean, n long, x binary, places binary, words binary"), "bags")
-    sizes = found.groupBy("doc_id").agg(F.sum("n").alias("n")).collect()
-    fits = whole_bags({r["doc_id"]: r["n"] for r in sizes}, order, most_passages)
+    sizes = {False: {}, True: {}}
+    for r in found.select("doc_id", "copy", "n").collect():
+        sizes[r["copy"]][r["doc_id"]] = r["n"]
+    fits = whole_bags(sizes[False], order, most_passages)
+    copied = set(whole_bags({d: sizes[True][d] for d in fits if d in sizes[True]}, order, most_passages // 10))
     fitting = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in sorted(fits)], "doc_id long"))
     bags = {
         (r["doc_id"], r["copy"]): Bag(np.frombuffer(r["x"], "<f2").reshape(-1, N_PLAIN), vocabulary.size, np.frombuffer(r["places"], "<i4"), np.frombuffer(r["words"], "<f2"))
@@ -319,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_pas
     }
     ids = sorted(doc for doc, copy in bags if not copy)
     for doc in ids:
-        bags[doc, False].shuffled = bags.get((doc, True))
+        bags[doc, False].shuffled = bags[doc, True] if doc in copied else None
     model = train([bags[doc, False] for doc in ids], np.array([y_of[d] for d in ids], dtype=np.float64))
     model.vocabulary = vocabulary
     return model
