@@ -74,3 +74,21 @@ def test_stub_full_text_is_not_usable(spark):
 def test_keyword_lines_with_cr_and_tabs(spark):
     df = spark.createDataFrame([(1, "LNG price\r\n\r\n\t# tabbed comment\r\n  fuel \t\r\n#x")], "i int, t string")
     assert [(r.line_no, r.keyword) for r in keyword_lines(df, "t", ["i"]).collect()] == [(0, "LNG price"), (3, "fuel")]
+
+
+def test_plain_tags_take_one_pattern_and_no_walk(monkeypatch):
+    """A tag as most are written isn't tokenized twice, and what is in an element is a stretch of the page's lists."""
+    def slow(*a):
+        raise AssertionError("the general way")
+    page = '<body class="x"><table><tr><th>a<td>1 &lt; 2</td></table><script>if (a < b) "<p>"</script><a href="/q" title="t">go</a><p>end'
+    want = M.html_tables(M.parse(page)), M.anchors(M.parse(page), "https://e.org/x")
+    with monkeypatch.context() as m:
+        m.setattr(M.HTMLParser, "parse_starttag", slow)
+        root = M.parse(page)
+    assert (M.html_tables(root), M.anchors(root, "https://e.org/x")) == want
+    assert want[0][0]["grid"] == [["a", "1 < 2"]] and want[1][0]["url"] == "https://e.org/q" and want[1][0]["raw_text"] == "go"
+    assert [n.tag for n in root.iter()] == ["body", "table", "tr", "th", "td", "script", "a", "p"]
+    assert root.find("td").text() == "1 < 2" and root.find("a").find("td") is None and root.text().endswith('if (a < b) "<p>"goend')
+    assert [n.tag for n in root.find("table").iter({"th", "td"})] == ["th", "td"] and list(root.find("script").iter()) == []
+    for tag in ('<A HREF="/q">', "<a href='/q'>", '<a href="/q&amp;r">', "<a  href=/q >", '<a href="/q"/>'):
+        assert M.anchors(M.parse(tag + "x</A >"), "https://e.org/x")[0]["url"].startswith("https://e.org/q")
