@@ -25,23 +25,30 @@ def _jstr(c: Column) -> Column:
 
 
 def inverted_index_json(text: Column) -> Column:
-    """token -> positions JSON object of whitespace-split text, built per row."""
-    toks = F.filter(F.split(F.coalesce(text, F.lit("")), JSWS + "+"), lambda t: t != "")
-    pairs = F.array_sort(F.transform(toks, lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+    """token -> positions JSON object of whitespace-split text, built per row.
+
+    The text is escaped as one string, and its escaped tokens are sorted: escaping knows no neighbours.
+    """
+    words = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), JSWS + "+", " "))
+    escaped = F.transform(F.array(F.to_json(F.array(words))), lambda j: j.substr(F.lit(3), F.length(j) - 4))[0]
 
     def body(p):
         return F.array_join(F.transform(p, lambda x, i: F.when(
-            i == 0, F.concat(_jstr(x["t"]), F.lit(":["), x["i"].cast("string")))
+            i == 0, F.concat(F.lit('"'), x["t"], F.lit('":['), x["i"].cast("string")))
             .when(F.get(p, i - 1)["t"] == x["t"], F.concat(F.lit(","), x["i"].cast("string")))
-            .otherwise(F.concat(F.lit("],"), _jstr(x["t"]), F.lit(":["), x["i"].cast("string")))), "")
-    inner = F.transform(F.array(pairs), body)[0]
-    return F.when(F.size(toks) == 0, F.lit("{}")).otherwise(F.concat(F.lit("{"), inner, F.lit("]}")))
+            .otherwise(F.concat(F.lit('],"'), x["t"], F.lit('":['), x["i"].cast("string")))), "")
+
+    def index(e):
+        pairs = F.sort_array(F.transform(F.split(e, " "), lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+        return F.transform(F.array(pairs), body)[0]
+    inner = F.transform(F.array(escaped), lambda e: F.when(e != "", F.concat(F.lit("{"), index(e), F.lit("]}"))).otherwise(F.lit("{}")))
+    return inner[0]
 
 
 def _responses(items: DataFrame, key: str, source: Column, wrap_pre: str, wrap_post: str,
                url_base: str) -> DataFrame:
     g = items.groupBy(F.floor(F.col(key) / ITEMS_PER_RESPONSE).alias("resp"))
-    agg = g.agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col("item").alias("item"))))
+    agg = g.agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), F.col("item").alias("item"))))
                 .alias("its"), F.first(source).alias("source"))
     return agg.select(
         F.col("resp").cast("int").alias("keyword_ord"), F.lit("").alias("keyword"),

@@ -61,8 +61,8 @@ def numbered(df: DataFrame, by: list[tuple[Column, bool]], name: str) -> DataFra
     bounds = every.agg(F.array_sort(F.collect_list(F.struct("n", key))).getField("_nb_key")).scalar()
 
     def step(low: Column, half: Column) -> Column:
-        bound = F.get(F.col("_nb_bounds"), low + half - 1)
-        return F.when(bound.isNotNull() & _sorts_before(bound, key, down), low + half).otherwise(low)
+        bound = F.array(F.get(F.col("_nb_bounds"), low + half - 1))  # taken once a step
+        return low + F.transform(bound, lambda b: F.when(b.isNotNull() & _sorts_before(b, key, down), half).otherwise(F.lit(0)))[0]
 
     bucket = F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(steps))]), F.lit(0), step)
     placed = keyed.withColumn("_nb_bounds", bounds).withColumn("_nb_part", bucket).drop("_nb_bounds")

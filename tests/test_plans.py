@@ -114,3 +114,21 @@ def test_records_of_one_slug_keep_their_own_tables(spark):
     none = spark.createDataFrame([], "position int, figure_number int, link_number int")
     got = assemble_records(art, t, none.drop("link_number"), none.drop("figure_number"), key="position").collect()
     assert {r.position: [x.caption for x in r.extraction.tables] for r in got} == {1: ["x"], 2: ["y", "z"]}
+
+
+def test_an_index_is_escaped_once_and_reads_back(spark):
+    """The JSON of a text's inverted index is escaped as a whole, not token by token; odd tokens come back, in order."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from quarry.functions.text import reconstruct_abstract
+    from quarry.plans.synth import inverted_index_json
+    assert str(inverted_index_json(F.col("t"))).count("to_json") == 1
+    texts = ['say "hi" \\ a\x01b 10 2 01 10 é\U0001f600 </p> say', "", " \n ", "one", None, "b a b a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("j", inverted_index_json(F.col("t")))
+    back = df.withColumn("back", reconstruct_abstract(F.from_json("j", "map<string,array<int>>"))).orderBy("i").collect()
+    assert [r.back for r in back] == ['say "hi" \\ a\x01b 10 2 01 10 é\U0001f600 </p> say', "", "", "one", "", "b a b a"]
+    assert json.loads(back[5].j) == {"a": [1, 3], "b": [0, 2]}
+    clash = spark.sql("SELECT from_json('{\"x\":[0,1],\"b\":[1],\"7\":[0],\"3\":[2]}', 'map<string,array<int>>') m")
+    assert clash.select(reconstruct_abstract("m")).first()[0] == "x b 3"
