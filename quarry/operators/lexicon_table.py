@@ -72,6 +72,14 @@ def index_lexicon(lexicon: DataFrame) -> LexiconIndex:
     return LexiconIndex(keyed, r[0] or 0, r[1] or 0, bool(r[2]), (r[3] or 0, r[4] or 0))
 
 
+def _keys(lexicon: LexiconIndex) -> Column:
+    """The distinct runs of up to the longest term's words of ``_canon``, read by one pattern a size: from each word on,
+    the run that begins there.  Where too few words are left for one, none of that size follows."""
+    def runs(size):
+        return F.regexp_extract_all("_canon", F.lit(f"(?=([a-z0-9]++(?:[^a-z0-9]++[a-z0-9]++){{{size - 1}}}))[a-z0-9]++"), F.lit(1))
+    return F.array_distinct(F.concat(*[runs(k) for k in range(1, lexicon.most_words + 1)]))
+
+
 def _grams(lexicon: LexiconIndex) -> Column:
     """The runs of words (``_words``, ``_seps``) of one text as structs (kind, key, left, right): what stands
     around a run, if any term asks.  Keys alone are distinct per text; with their surroundings they are after the join."""
@@ -112,8 +120,13 @@ def lexicon_hits(texts: DataFrame, lexicon: DataFrame | LexiconIndex, keys: list
     """(…keys, facet, kind, ord, term): every term that occurs in a row's text, once; ``keys`` tell rows apart."""
     index = lexicon if isinstance(lexicon, LexiconIndex) else index_lexicon(lexicon)
     canon = let(texts.select(*keys, _s(F.col(text)).alias("_text")), _canonical(F.col("_text")).alias("_canon"))
-    parts = let(canon, F.regexp_extract_all("_canon", F.lit(_WORD), F.lit(0)).alias("_words"), F.split("_canon", _WORD, -1).alias("_seps"))
-    grams = parts.select(*keys, F.inline(_grams(index)))
+    if index.most_words and not index.has_edges and not index.stem_lengths[1]:
+        blank = F.lit("")
+        grams = let(canon, _keys(index).alias("_keys")).select(
+            *keys, F.lit("term").alias("kind"), F.explode("_keys").alias("key"), blank.alias("left"), blank.alias("right"))
+    else:
+        parts = let(canon, F.regexp_extract_all("_canon", F.lit(_WORD), F.lit(0)).alias("_words"), F.split("_canon", _WORD, -1).alias("_seps"))
+        grams = parts.select(*keys, F.inline(_grams(index)))
     if index.chars <= BROADCAST_CHARS:
         met = grams.join(F.broadcast(index.terms), ["kind", "key"])
     else:

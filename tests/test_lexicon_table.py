@@ -71,3 +71,14 @@ def test_refused_terms(spark):
     empty = spark.createDataFrame([], L.LEXICON_SCHEMA)
     df = spark.createDataFrame([(1, "a b")], "id int, text string")
     assert L.matched_by_facet(df, empty, ["id"]).collect() == []
+
+
+def test_runs_of_words_are_read_by_patterns(spark):
+    """Without edges and stems a text's keys come from one pattern a size, with what stands between the words."""
+    from quarry.operators import lexicon_table as L
+    rows = [("f", 0, "a b", "term"), ("f", 1, "b-c d", "term"), ("f", 2, "d", "term"), ("f", 3, "c d e", "term")]
+    index = L.index_lexicon(spark.createDataFrame(rows, L.LEXICON_SCHEMA))
+    assert "regexp_extract_all" in str(L._keys(index)) and "lambda" not in str(L._keys(index)).lower()
+    texts = spark.createDataFrame([(0, "A  b-C\td"), (1, "ab b - c d e"), (2, ""), (3, None), (4, "d"), (5, "a b a b")], "i int, text string")
+    got = {(r.i, r.term) for r in L.lexicon_hits(texts, index, ["i"]).collect()}
+    assert got == {(0, "a b"), (0, "b-c d"), (0, "d"), (1, "d"), (1, "c d e"), (4, "d"), (5, "a b")}
