@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from quarry.functions import markup
 from quarry.functions.text import table_count
 from quarry.operators import copies as C
+from quarry.operators import deposits as D
 from quarry.operators.records import articles_with_data, flatten_records, join_evidence
 from quarry.plans import extract as E
 from quarry.plans.q_records_plan import _index, _landed
+from quarry.shared import stored
 
 SF = "/root/testdata/sf0.001"
 COPY = "url string, mode string, final_url string, body string, error string"
@@ -89,3 +91,18 @@ def test_nothing_landed(spark):
     rows = E.extract_records(_index(spark, SF), bare, limit=5, order=["k"]).collect()
     assert len(rows) == 5 and all(not r.extraction.loaded and r.extraction.errors for r in rows)
     assert E.extract_records(_index(spark, SF).limit(0), landed, order=["k"]).collect() == []
+
+
+def test_links_and_lookups_are_computed_once(spark, monkeypatch):
+    """What several steps read is written first: each is computed once, however many orders there are."""
+    names = []
+
+    def written(df, name):
+        names.append(name)
+        return stored(df, name)
+    for module in (E, C, D):
+        if hasattr(module, "stored"):
+            monkeypatch.setattr(module, "stored", written)
+    E.extract_records(_index(spark, SF), _landed(spark, SF), order=["k"], limit=20)
+    assert {"targets", "lookups", "chosen", "parsed", "unique-links", "links", "located", "deposit-refs", "route-candidates", "file-candidates"} <= set(names)
+    assert len(names) == len(set(names))
