@@ -106,3 +106,31 @@ def test_links_and_lookups_are_computed_once(spark, monkeypatch):
     E.extract_records(_index(spark, SF), _landed(spark, SF), order=["k"], limit=20)
     assert {"targets", "lookups", "chosen", "parsed", "unique-links", "links", "located", "deposit-refs", "route-candidates", "file-candidates"} <= set(names)
     assert len(names) == len(set(names))
+
+
+def test_records_are_assembled_once(spark, monkeypatch):
+    """Joins of the flat rows with themselves read them written: the records aren't assembled for each side."""
+    from quarry.plans import q_records_plan as Q
+    names, made = [], []
+    monkeypatch.setattr(Q, "stored", lambda df, name: names.append(name) or stored(df, name))
+    monkeypatch.setattr(Q, "_extracted", lambda spark, sf: made.append(sf) or E.extract_records(_index(spark, sf), _landed(spark, sf), order=["k"], limit=30))
+    for query in (Q.extract_evidence, Q.extract_with_data):
+        plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "MapInArrow" not in plan, plan
+    assert names == ["flat", "flat"] and len(made) == 2
+
+
+def test_written_numbering_is_the_plans(spark):
+    from quarry.shared import numbered, numbered_table
+    df = spark.range(5000).select("id", F.expr("CASE WHEN id % 7 = 0 THEN NULL ELSE id % 5 END").alias("a"),
+                                  F.expr("CASE WHEN id % 11 = 0 THEN NULL ELSE concat('T', id % 13) END").alias("b")).repartition(9)
+    by = [(F.col("a"), True), (F.collate(F.col("b"), "UNICODE"), False), (F.col("id"), True)]
+    got, want = ({r.id: r.n for r in f(df, by, "n").collect()} for f in (numbered_table, numbered))
+    assert got == want and sorted(got.values()) == list(range(5000))
+    assert numbered_table(df.limit(0), by, "n").collect() == []
+
+
+def test_table_count_over_odd_ends(spark):
+    pages = ["<table>", "<table", "<table x='<table>", '<table a="><table>">', "<p><table><table >", "< <table>", "<script <table>", "<td>" * 50_000 + "<table>", "<TABLE\n>"]
+    got = [r.n for r in spark.createDataFrame(list(enumerate(pages)), "id int, body string").coalesce(1).orderBy("id").select(table_count(F.col("body")).alias("n")).collect()]
+    assert got == [1, 0, 1, 1, 2, 1, 0, 1, 1]

@@ -92,3 +92,33 @@ def test_plain_tags_take_one_pattern_and_no_walk(monkeypatch):
     assert [n.tag for n in root.find("table").iter({"th", "td"})] == ["th", "td"] and list(root.find("script").iter()) == []
     for tag in ('<A HREF="/q">', "<a href='/q'>", '<a href="/q&amp;r">', "<a  href=/q >", '<a href="/q"/>'):
         assert M.anchors(M.parse(tag + "x</A >"), "https://e.org/x")[0]["url"].startswith("https://e.org/q")
+
+
+def test_plain_and_odd_tags_mixed(monkeypatch):
+    """Plain tags by one pattern give the page that the tokenizer gives alone, whatever stands between them."""
+    import random
+    rng = random.Random(11)
+    parts = ["<table>", "<TD>", "</td >", "<td>", "<tr>", "</table>", "<!-- <table> -->", "<!-->", "<!-- a -- b -->", "<!doctype html>", "<?p?>", "<script>", "</script>", "<title>", "</title>",
+             '<a title="<b>" href="/x">', '<a href="/a&amp;b">', "</a>", "<p it's>", "</p x='1'>", "&lt;", "&", "a < b", "<br/>", '<figure class="table caption">', "</figure>", "<h3>", "<article>", "text", "<"]
+    pages = [("".join(rng.choices(parts, k=rng.randrange(14))), bool(k % 2)) for k in range(3000)]
+
+    def read():
+        return [(M.html_tables(r), M.html_figures(r, "https://e.org/"), M.anchors(r, "https://e.org/x"), r.text(), [(n.tag, n.attrs, n.first, n.last) for n in r.iter()])
+                for r in (M.parse(p, xml) for p, xml in pages)]
+    mixed = read()
+    stepped = []
+    step = M.HTMLParser.goahead
+
+    def alone(self, end):
+        stepped.append(end)
+        return step(self, end)
+    monkeypatch.setattr(M._Builder, "goahead", alone)
+    assert read() == mixed and stepped
+
+
+def test_a_plain_page_takes_no_step_of_the_tokenizer(monkeypatch):
+    steps = []
+    for name in ("parse_starttag", "parse_endtag", "parse_comment"):
+        monkeypatch.setattr(M._Builder, name, lambda self, i, name=name: steps.append(name) or -1, raising=False)
+    root = M.parse('<html><body title="<table>"><!-- <table> --><table><tr><td class="a">1</td><td>2</td></tr></table></body></html>')
+    assert [n.tag for n in root.iter()] == ["html", "body", "table", "tr", "td", "td"] and not steps
