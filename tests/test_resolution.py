@@ -102,3 +102,45 @@ def test_join_keeps_rows_without_partner_or_key(spark):
     assert got.count() == 101 and got.filter("v = 1").count() == 50
     assert salted_join(left, right, ["key"], ["id"], pieces=8).count() == 50
     assert salted_join(left.limit(0), right, ["key"], ["id"]).collect() == []
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from quarry.shared import stored
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+    spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().collect()
+    before = shuffled()
+    assert stored(spark.range(20_000).groupBy((F.col("id") % 700).alias("k")).count(), "counts").count() == 700
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    left = shuffled() - before
+    assert len(left) <= 4, left  # of the count() above alone
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_files_of_a_link_are_shuffled_once_for_their_numbers(spark):
+    links = spark.createDataFrame([("a", 1, "https://ex.org/x.csv", "https://ex.org/x.csv"), ("a", 2, "https://ex.org/p", "")], LINKS)
+    landing = spark.createDataFrame([("a", 2, k, f"https://ex.org/{k}", "f", None, "html_link") for k in range(3)] + [("a", 1, 0, "https://ex.org/y", "y", None, "html_link")],
+                                    "article_id string, link_number int, file_ord int, url string, file_name string, size long, source string")
+    files = resolve_files(links, landed(spark), landing)
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, plan
+    assert sorted((r.link_number, r.file_index, r.url) for r in files.collect()) == [(1, 1, "https://ex.org/x.csv"), *[(2, k + 1, f"https://ex.org/{k}") for k in range(3)]]
+
+
+def test_deposits_and_data_files_in_any_spelling(spark):
+    from quarry.functions import text as X
+    urls = ["HTTPS://ZENODO.ORG/Records/12", "x 10.5281/ZENODO.7", "https://figshare.com/articles/dataset/t/9", "https://FIGSHARE.com/ndownloader/articles/3", "10.6084/M9.FigShare.4",
+            "https://DATA.mendeley.com/DATASETS/aB1/2", "10.17632/xy.3", "https://zenodo.org/", "", None, "https://e.org/a.CSV", "https://e.org/a%2Ecsv", "https://e.org/a.csv.html", "https://e.org/csv", "https://e.org/.csv"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "k int, u string").select(
+        "k", X.zenodo_record_id("u").alias("z"), X.figshare_article_id("u").alias("f"), X.mendeley_ref("u").alias("m"), X.is_data_file_url("u").alias("d"))
+    got = sorted(df.collect())
+    assert [r.z for r in got if r.z] == ["12", "7"] and [r.f for r in got if r.f] == ["9", "3", "4"]
+    assert [tuple(r.m) for r in got if r.m] == [("aB1", "2"), ("xy", "3")]
+    assert [urls[r.k] for r in got if r.d] == ["https://e.org/a.CSV", "https://e.org/a%2Ecsv"]
