@@ -144,3 +144,15 @@ def test_deposits_and_data_files_in_any_spelling(spark):
     assert [r.z for r in got if r.z] == ["12", "7"] and [r.f for r in got if r.f] == ["9", "3", "4"]
     assert [tuple(r.m) for r in got if r.m] == [("aB1", "2"), ("xy", "3")]
     assert [urls[r.k] for r in got if r.d] == ["https://e.org/a.CSV", "https://e.org/a%2Ecsv"]
+
+
+def test_references_are_read_without_lambdas(spark):
+    """Which deposits a link names is compiled code: no interpreted function runs for each link."""
+    from quarry.operators.deposits import deposit_refs, inspected_urls
+    key = ["article_id", "link_number"]
+    df = spark.createDataFrame([("a", 1, "https://zenodo.org/records/5", "https://doi.org/10.17632/abc.2"), ("a", 2, "", None), ("a", 3, None, "https://x.org"),
+                                ("a", 4, "https://figshare.com/articles/dataset/t/9", "https://figshare.com/articles/dataset/t/9")], LINKS)
+    refs = deposit_refs(inspected_urls(df, key), key)
+    assert "lambda" not in refs._jdf.queryExecution().analyzed().toString()
+    assert sorted((r.link_number, r.ui, r.repo, r.deposit_id, r.named) for r in refs.collect()) == [(1, 0, "zenodo", "5", ""), (1, 1, "mendeley", "abc", "2"), (4, 0, "figshare", "9", "")]
+    assert sorted((r.link_number, r.ui) for r in inspected_urls(df, key).collect()) == [(1, 0), (1, 1), (3, 0), (4, 0)]
